@@ -1,0 +1,22 @@
+"""Every operator, model, check and analysis as a query with a SQL oracle."""
+
+from __future__ import annotations
+
+from commerce_lake.catalog import analysis, models
+
+_PARTS = (models, analysis)
+
+
+def _merged(attribute: str) -> dict:
+    merged: dict = {}
+    for part in _PARTS:
+        merged.update(getattr(part, attribute))
+    return merged
+
+
+def all_queries() -> dict:
+    return _merged("QUERIES")
+
+
+def all_oracles() -> dict[str, str]:
+    return _merged("ORACLES")
