@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from commerce_lake.catalog import analysis, models
+from commerce_lake.catalog import analysis, checks, models
 
-_PARTS = (models, analysis)
+_PARTS = (models, analysis, checks)
 
 
 def _merged(attribute: str) -> dict:

@@ -80,8 +80,8 @@ ANALYSIS_VIEWS = {
         SELECT * FROM dim_customer
         WHERE customer_city IS NOT NULL AND customer_latitude IS NOT NULL AND customer_longitude IS NOT NULL""",
     "city_leaders": """
-        SELECT c.customer_city AS name, round(avg(customer_latitude), 6) AS latitude,
-               round(avg(customer_longitude), 6) AS longitude, count(*) AS customer_count,
+        SELECT c.customer_city AS name, sum(customer_latitude::DECIMAL(18,9))::DOUBLE / count(*) AS latitude,
+               sum(customer_longitude::DECIMAL(18,9))::DOUBLE / count(*) AS longitude, count(*) AS customer_count,
                sum(lifetime_revenue)::DOUBLE AS total_lifetime_revenue, any_value(top_key) AS top_customer_key,
                any_value(top_revenue)::DOUBLE AS top_customer_lifetime_revenue
         FROM located c

@@ -257,13 +257,13 @@ VIEWS: dict[str, str] = {
         WHERE order_status = 'delivered'
         GROUP BY ALL""",
     "geo_places": """
-        SELECT customer_city AS city, customer_state AS state, round(avg(latitude), 9) AS latitude,
-               round(avg(longitude), 9) AS longitude, count(DISTINCT order_id) AS total_orders,
+        SELECT customer_city AS city, customer_state AS state, sum(latitude::DECIMAL(18,9))::DOUBLE / count(*) AS latitude,
+               sum(longitude::DECIMAL(18,9))::DOUBLE / count(*) AS longitude, count(DISTINCT order_id) AS total_orders,
                sum(total_order_revenue) AS total_revenue_Brazilian_Real
         FROM geo_sales WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2""",
     "geo_seller_places": """
-        SELECT seller_id, product_category_name_english, city, state, round(avg(latitude), 9) AS latitude,
-               round(avg(longitude), 9) AS longitude, count(DISTINCT order_id) AS total_orders,
+        SELECT seller_id, product_category_name_english, city, state, sum(latitude::DECIMAL(18,9))::DOUBLE / count(*) AS latitude,
+               sum(longitude::DECIMAL(18,9))::DOUBLE / count(*) AS longitude, count(DISTINCT order_id) AS total_orders,
                sum(total_revenue) AS total_revenue_Brazilian_Real
         FROM geo_seller_sales WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3, 4""",
 }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from commerce_lake.functions import labels
 from commerce_lake.functions.dates import day_gap, elapsed_seconds
 from commerce_lake.functions.numbers import (
-    MONEY, double, mean, percent, percent_where, rounded, zero_money,
+    COORDINATE, MONEY, double, mean, percent, percent_where, rounded, zero_money,
 )
 from commerce_lake.functions.text import label_head, label_tail, place_label
 from commerce_lake.operators.percentiles import exact_percentiles
@@ -632,8 +632,8 @@ def cities_with_top_customer(m: Models) -> DataFrame:
         F.struct(revenue.isNull(), (-revenue).alias("descending"), F.col("customer_key")),
     )
     cities = located.groupBy(F.col("customer_city").alias("name")).agg(
-        F.round(F.avg("customer_latitude"), 6).alias("latitude"),
-        F.round(F.avg("customer_longitude"), 6).alias("longitude"),
+        mean(F.col("customer_latitude").cast(COORDINATE)).alias("latitude"),
+        mean(F.col("customer_longitude").cast(COORDINATE)).alias("longitude"),
         F.count("*").alias("customer_count"),
         F.sum("lifetime_revenue").alias("total_lifetime_revenue"),
         best.alias("best"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.dates import tolerant_timestamp
-from commerce_lake.functions.numbers import COORDINATE, MONEY, mean, rounded
+from commerce_lake.functions.numbers import COORDINATE, MONEY, mean
 from commerce_lake.functions.text import or_unknown
 
 
@@ -85,8 +85,8 @@ def _map_ready(fact: DataFrame, keys: list[str], revenue: str) -> DataFrame:
     # Orders are already one row per group member, so the distinct count runs on
     # (keys, order) and spreads even one very large place over many tasks.
     return placed.groupBy(*keys).agg(
-        rounded(F.avg("latitude"), 9).alias("latitude"),
-        rounded(F.avg("longitude"), 9).alias("longitude"),
+        mean(F.col("latitude").cast(COORDINATE)).alias("latitude"),
+        mean(F.col("longitude").cast(COORDINATE)).alias("longitude"),
         F.countDistinct("order_id").alias("total_orders"),
         F.round(F.sum(revenue), 2).alias("total_revenue_Brazilian_Real"),
     )
