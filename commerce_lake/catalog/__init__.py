@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from commerce_lake.catalog import analysis, checks, models
+from commerce_lake.catalog import analysis, checks, columns, models, relational
 
-_PARTS = (models, analysis, checks)
+_PARTS = (models, analysis, checks, columns, relational)
 
 
 def _merged(attribute: str) -> dict:

@@ -62,3 +62,19 @@ def with_views(views: dict[str, str], body: str) -> str:
     if not needed:
         return body
     return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + body
+
+
+class Registry:
+    """Collects queries over test tables together with their oracles."""
+
+    def __init__(self) -> None:
+        self.queries: dict[str, Query] = {}
+        self.oracles: dict[str, str] = {}
+
+    def add(self, name: str, tables: str, sql: str):
+        def wrap(build: Callable[..., DataFrame]):
+            self.queries[name] = over_tables(*tables.split())(build)
+            self.oracles[name] = sql
+            return build
+
+        return wrap
