@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from commerce_lake.catalog import analysis, checks, columns, models, relational
+from commerce_lake.catalog import analysis, checks, columns, models, relational, storage
 
-_PARTS = (models, analysis, checks, columns, relational)
+_PARTS = (models, analysis, checks, columns, relational, storage)
 
 
 def _merged(attribute: str) -> dict:

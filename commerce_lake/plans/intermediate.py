@@ -110,10 +110,13 @@ def int_order_payment_totals(
 
 
 def int_customer_order_history(
-    customers: DataFrame, orders: DataFrame, payments: DataFrame, params: Params
+    customers: DataFrame, orders: DataFrame, order_payments: DataFrame, params: Params
 ) -> DataFrame:
-    """One row per stable customer; the address comes whole from the last order."""
-    paid = payment_totals(payments).select("order_id", "payment_value_total")
+    """One row per stable customer; the address comes whole from the last order.
+
+    `order_payments` holds `payment_value_total` with one row per order.
+    """
+    paid = order_payments.select("order_id", "payment_value_total")
     placed = customers.join(orders, "customer_id").join(paid, "order_id", "left")
 
     status = F.col("order_status")

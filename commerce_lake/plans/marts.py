@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from commerce_lake.functions.dates import calendar, elapsed_days
 from commerce_lake.functions.text import or_unknown
 from commerce_lake.params import Params
-from commerce_lake.plans.intermediate import with_order_totals
 
 
 def _coordinates(geo: DataFrame, zip_column: str, prefix: str) -> DataFrame:
@@ -95,16 +94,9 @@ def fct_order_items(items: DataFrame, lifecycle: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(
-    lifecycle: DataFrame, payments: DataFrame, items: DataFrame, params: Params
-) -> DataFrame:
-    """Accumulating snapshot per order.
-
-    Totals are attached to the lifecycle itself, which spares a second scan and
-    shuffle of the orders behind `int_order_payment_totals`.
-    """
-    snapshot = with_order_totals(lifecycle, payments, items, params)
-    return snapshot.select(
+def fct_orders(lifecycle_with_totals: DataFrame) -> DataFrame:
+    """Accumulating snapshot per order."""
+    return lifecycle_with_totals.select(
         "order_id", "customer_key", "order_purchase_date", "order_purchase_timestamp",
         "order_status", "order_approved_at", "order_delivered_carrier_date",
         "order_delivered_customer_date", "order_estimated_delivery_date",
