@@ -121,7 +121,7 @@ SELECT (SELECT count(*) FROM fct_orders) AS orders_total,
   (SELECT max(order_purchase_date) FROM fct_orders) AS last_order_date,
   r.*, p.*, c.*, o.*, v.*,
   (SELECT round(avg(delivery_days), 1) FROM plausible_orders) AS avg_delivery_days,
-  (SELECT round(quantile_disc(delivery_days, 0.5), 1) FROM plausible_orders) AS median_delivery_days,
+  (SELECT round(quantile_cont(delivery_days, 0.5), 1) FROM plausible_orders) AS median_delivery_days,
   (SELECT round(100.0::DOUBLE * count(DISTINCT order_id) / (SELECT count(*) FROM fct_orders), 1) FROM fct_reviews) AS pct_orders_with_review
 FROM (SELECT round(sum(item_price_total)::DOUBLE) AS product_revenue_brl, round(sum(freight_value_total)::DOUBLE) AS freight_brl,
              round(sum(item_gross_total)::DOUBLE) AS gmv_incl_freight_brl, count(*) AS revenue_orders,

@@ -293,16 +293,16 @@ def _(spark, sf_dir, folder):
 
 
 @_add("S17_day_partitioned_table", """
-    SELECT order_purchase_date, count(*) AS n, sum(line_gross_value)::DOUBLE AS gross FROM fct_order_items
-    WHERE order_purchase_date BETWEEN DATE '1997-03-01' AND DATE '1997-04-15' GROUP BY 1""")
+    SELECT review_creation_date, count(*) AS n, sum(review_score)::BIGINT AS score FROM fct_reviews
+    WHERE review_creation_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1""")
 def _(spark, sf_dir, folder):
-    items = models(spark, sf_dir).fct_order_items
-    stored = write_partitioned(
-        items, folder, "order_purchase_date", ["product_key", "seller_key"], ["order_id", "order_item_id"]
+    reviews = models(spark, sf_dir).fct_reviews
+    stored = write_partitioned(reviews, folder, "review_creation_date", ["order_id"], ["review_id"])
+    window = stored.where(
+        F.col("review_creation_date").between(F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 20)))
     )
-    window = stored.where(F.col("order_purchase_date").between(F.lit(date(1997, 3, 1)), F.lit(date(1997, 4, 15))))
-    return window.groupBy("order_purchase_date").agg(
-        F.count("*").alias("n"), F.sum("line_gross_value").alias("gross")
+    return window.groupBy("review_creation_date").agg(
+        F.count("*").alias("n"), F.sum("review_score").alias("score")
     )
 
 

@@ -61,10 +61,17 @@ def exact_percentiles(
     for low, high, _ in wanted:
         for rank in (low, high):
             holds_rank = holds_rank | ((rank >= before) & (rank < F.col("_through")))
-    hit_slices = slices.where(holds_rank).select(*keys, "_slice", before.alias("_before"), "_total")
+    hit_slices = slices.where(holds_rank).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("_slice").alias("_hit"), before.alias("_before"), "_total"
+    )
+    # Null-safe, so that a null group stays, and so that no filter is derived
+    # for one side only: both sides then share the shuffle of the counts.
+    same = F.col("_slice").eqNullSafe(F.col("_hit"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
 
     within = Window.partitionBy(*keys, "_slice").orderBy("_value")
-    rows = counts.join(hit_slices, [*keys, "_slice"]).withColumn(
+    rows = counts.join(hit_slices, same).withColumn(
         "_end", F.col("_before") + F.sum("_n").over(within)
     )
     start, end = F.col("_end") - F.col("_n"), F.col("_end")

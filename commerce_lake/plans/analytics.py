@@ -59,6 +59,8 @@ def headline_metrics(m: Models) -> DataFrame:
         percent(F.count_if(F.col("is_late")), F.count("is_late"), 1).alias("late_rate_of_delivered_pct"),
         F.round(F.avg(F.when(plausible, F.col("delivery_days"))), 1).alias("avg_delivery_days"),
         F.round(mean(F.when(delivered_known, late_days)), 1).alias("avg_days_late_vs_promise"),
+        # Durations are whole hours up to 180 days: at most 4,321 values to keep.
+        F.round(F.percentile(F.when(plausible, F.col("delivery_days")), 0.5), 1).alias("median_delivery_days"),
     )
     from_items = m.fct_order_items.agg(
         F.count("*").alias("order_lines_total"),
@@ -96,22 +98,16 @@ def headline_metrics(m: Models) -> DataFrame:
         percent_where(F.col("review_score") <= 2, 1).alias("pct_1_2_star"),
         F.round(F.avg("review_response_days"), 1).alias("avg_review_response_days"),
     )
-    median_value = _overall_median(m.dim_customer, "lifetime_revenue", 2, "median_lifetime_revenue_brl")
-    median_days = _overall_median(orders.where(plausible), "delivery_days", 1, "median_delivery_days")
-    joined = in_one_row(
-        from_orders, from_items, from_customers, from_payments, from_reviews, median_value, median_days
+    values = m.dim_customer.select(double("lifetime_revenue").alias("value"))
+    median_value = exact_percentiles(values, [], "value", [0.5], 10.0, interpolate=False).select(
+        F.round("p0", 2).alias("median_lifetime_revenue_brl")
     )
+    joined = in_one_row(from_orders, from_items, from_customers, from_payments, from_reviews, median_value)
     return joined.withColumn(
         "pct_orders_with_review", percent(F.col("_reviewed_orders"), F.col("orders_total"), 1)
     ).drop("_reviewed_orders")
 
 
-def _overall_median(df: DataFrame, value: str, digits: int, name: str) -> DataFrame:
-    values = df.select(double(value).alias(value))
-    middle = exact_percentiles(values, [], value, [0.5], 10.0, interpolate=False)
-    return middle.select(F.round("p0", digits).alias(name))
-
-
 PROFILE_POINTS = {"min": 0, "p10": 0.1, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99, "max": 1}
 
 
@@ -560,7 +556,9 @@ def revenue_concentration(m: Models) -> DataFrame:
         percent(F.sum(F.when(in_tail, F.col("revenue"))), F.sum("revenue"), 1).alias("tail_revenue_pct"),
         F.sum("revenue").alias("_total"),
     )
-    by_size = [F.desc("revenue"), F.col("city")]
+    # Sorting on all columns keeps both uses of the cities alike, so Spark
+    # computes them once.
+    by_size = [F.desc("revenue"), F.desc("orders"), F.col("city")]
     leading = cities.orderBy(*by_size).limit(max(m.params.head_sizes))
     position = F.row_number().over(Window.orderBy(*by_size))
     heads = leading.withColumn("position", position).agg(
@@ -580,40 +578,42 @@ def revenue_concentration(m: Models) -> DataFrame:
 
 
 def city_tiers(m: Models) -> DataFrame:
-    """City count against revenue for three tiers; top and tail may overlap."""
+    """City count against revenue for three tiers.
+
+    Leading cities may also be in the tail; the middle is what is in neither.
+    """
     cities = _cities(m).select("city", "orders", F.col("exact").alias("revenue"))
-    leading = (
-        cities.orderBy(F.desc("revenue"), "city").limit(m.params.pareto_cities)
-        .select("city", F.lit(True).alias("leads"))
-    )
-    flagged = cities.join(leading, "city", "left").select(
-        "revenue",
-        F.coalesce("leads", F.lit(False)).alias("top"),
-        (F.col("orders") <= m.params.tail_orders).alias("tail"),
-    )
-    tiers = (
-        (labels.TIER_TOP, F.col("top")),
-        (labels.TIER_MID, ~F.col("top") & ~F.col("tail")),
-        (labels.TIER_TAIL, F.col("tail")),
-    )
-    sums = flagged.agg(
-        F.count("*").alias("cities"),
-        F.sum("revenue").alias("total"),
-        *[F.count_if(c).alias(f"n{i}") for i, (_, c) in enumerate(tiers)],
-        *[F.sum(F.when(c, F.col("revenue"))).alias(f"r{i}") for i, (_, c) in enumerate(tiers)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("tier"),
-                F.col(f"n{i}").alias("n_cities"),
-                F.coalesce(percent(F.col(f"r{i}"), F.col("total"), 1), F.lit(0.0)).alias("revenue_pct"),
-                percent(F.col(f"n{i}"), F.col("cities"), 1).alias("cities_pct"),
-            )
-            for i, (name, _) in enumerate(tiers)
+    revenue, in_tail = F.col("revenue"), F.col("orders") <= m.params.tail_orders
+
+    def measures(prefix: str) -> list[Column]:
+        return [
+            F.count("*").alias(f"{prefix}_n"),
+            F.coalesce(F.sum(revenue), F.lit(0)).alias(f"{prefix}_r"),
+            F.count_if(in_tail).alias(f"{prefix}_tail_n"),
+            F.coalesce(F.sum(F.when(in_tail, revenue)), F.lit(0)).alias(f"{prefix}_tail_r"),
         ]
-    )
-    return sums.select(F.inline(rows))
+
+    leading = cities.orderBy(F.desc("revenue"), "city").limit(m.params.pareto_cities)
+    sums = in_one_row(cities.agg(*measures("all")), leading.agg(*measures("top")))
+
+    def neither(kind: str) -> Column:
+        return F.col(f"all_{kind}") - F.col(f"top_{kind}") - F.col(f"all_tail_{kind}") + F.col(f"top_tail_{kind}")
+
+    tiers = (
+        (labels.TIER_TOP, F.col("top_n"), F.col("top_r")),
+        (labels.TIER_MID, neither("n"), neither("r")),
+        (labels.TIER_TAIL, F.col("all_tail_n"), F.col("all_tail_r")),
+    )
+    rows = [
+        F.struct(
+            F.lit(name).alias("tier"),
+            n.alias("n_cities"),
+            percent(r, F.col("all_r"), 1).alias("revenue_pct"),
+            percent(n, F.col("all_n"), 1).alias("cities_pct"),
+        )
+        for name, n, r in tiers
+    ]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 # Dashboards -------------------------------------------------------------

@@ -26,9 +26,11 @@ def int_geolocation_deduped(geolocation: DataFrame, params: Params) -> DataFrame
         F.col("geolocation_lat").between(*params.latitude_bounds)
         & F.col("geolocation_lng").between(*params.longitude_bounds)
     )
-    axes = inside.select("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng").unpivot(
-        "geolocation_zip_code_prefix", ["geolocation_lat", "geolocation_lng"], "axis", "degrees"
-    )
+    pairs = [
+        F.struct(F.lit(name).alias("axis"), F.col(name).alias("degrees"))
+        for name in ("geolocation_lat", "geolocation_lng")
+    ]
+    axes = inside.select("geolocation_zip_code_prefix", F.inline(F.array(*pairs)))
     zip_axis = ["geolocation_zip_code_prefix", "axis"]
     medians = exact_percentiles(axes, zip_axis, "degrees", [0.5], DEGREE_SLICE)
 
