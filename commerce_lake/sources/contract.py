@@ -22,7 +22,6 @@ def _options(table: RawTable) -> dict[str, str]:
         "quote": '"',
         "escape": '"',
         "multiLine": str(table.free_text).lower(),
-        "timestampFormat": "yyyy-MM-dd HH:mm:ss",
     }
 
 
