@@ -64,7 +64,7 @@ ANALYSIS_VIEWS = {
         FROM revenue_orders o JOIN dim_customer USING (customer_key) GROUP BY 1""",
     "region_sales": """
         SELECT region, orders, customers, revenue, pct_revenue,
-               round(sum(pct_revenue) OVER (ORDER BY revenue DESC, region), 1) AS cum_pct_revenue,
+               round(sum(pct_revenue::DECIMAL(18,2)) OVER (ORDER BY revenue DESC, region), 1)::DOUBLE AS cum_pct_revenue,
                round(revenue / orders, 2) AS avg_order_value
         FROM (SELECT region, sum(orders)::BIGINT AS orders, sum(customers)::BIGINT AS customers, sum(revenue) AS revenue,
                      round(100.0::DOUBLE * (sum(revenue) / sum(sum(revenue)) OVER ()), 2) AS pct_revenue
@@ -250,7 +250,7 @@ _ANALYSES = {
     "A3.1_revenue_by_state": (
         analytics.revenue_by_state,
         """SELECT state, region, orders, customers, revenue, pct_revenue, avg_order_value,
-                  round(sum(pct_revenue) OVER (ORDER BY revenue DESC, state), 1) AS cum_pct_revenue
+                  round(sum(pct_revenue::DECIMAL(18,2)) OVER (ORDER BY revenue DESC, state), 1)::DOUBLE AS cum_pct_revenue
            FROM state_sales LEFT JOIN state_region USING (state)"""),
     "A3.1b_revenue_by_region": (analytics.revenue_by_region, "SELECT * FROM region_sales"),
     "A3.1c_region_volume_and_value": (
@@ -258,7 +258,7 @@ _ANALYSES = {
     "A3.2_top_cities": (
         analytics.top_cities,
         """SELECT city, region, orders, customers, shown AS revenue, pct_revenue,
-                  round(sum(pct_revenue) OVER (ORDER BY shown DESC, city), 1) AS cum_pct_revenue, customer_city AS city_label
+                  round(sum(pct_revenue::DECIMAL(18,2)) OVER (ORDER BY shown DESC, city), 1)::DOUBLE AS cum_pct_revenue, customer_city AS city_label
            FROM (SELECT *, round(revenue::DOUBLE) AS shown,
                         round(100.0::DOUBLE * (revenue::DOUBLE / total::DOUBLE), 2) AS pct_revenue
                  FROM city_ranks ORDER BY shown DESC, city LIMIT 20)

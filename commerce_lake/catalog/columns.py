@@ -12,7 +12,7 @@ from commerce_lake.catalog.common import Registry
 from commerce_lake.functions import dates, labels, numbers, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group
-from commerce_lake.operators.shares import running_total
+from commerce_lake.operators.shares import running_share, share_of_groups
 
 registry = Registry()
 add = registry.add
@@ -423,14 +423,12 @@ def _(lineitem):
 
 
 @add("W7_running_share", "orders",
-     """SELECT o_orderpriority, pct, round(sum(pct) OVER (ORDER BY n DESC, o_orderpriority), 1) AS running FROM (
+     """SELECT o_orderpriority, pct, round(sum(pct::DECIMAL(18,2)) OVER (ORDER BY n DESC, o_orderpriority), 1)::DOUBLE AS running FROM (
           SELECT o_orderpriority, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS pct FROM orders GROUP BY 1)""")
 def _(orders):
-    from commerce_lake.operators.shares import share_of_groups
-
     shares = _count_by(orders, "o_orderpriority").withColumn("pct", share_of_groups("n", 2))
-    running = running_total("pct", [F.desc("n"), F.col("o_orderpriority")])
-    return shares.select("o_orderpriority", "pct", F.round(running, 1).alias("running"))
+    running = running_share("pct", [F.desc("n"), F.col("o_orderpriority")])
+    return shares.select("o_orderpriority", "pct", running.alias("running"))
 
 
 QUERIES, ORACLES = registry.queries, registry.oracles

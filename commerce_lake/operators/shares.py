@@ -29,10 +29,14 @@ def grand_total(df: DataFrame, name: str) -> Column:
     return df.agg(F.sum(name)).scalar()
 
 
-def running_total(name: str, order: Sequence[Column]) -> Column:
-    """Running sum over an already aggregated, bounded result."""
+def running_share(name: str, order: Sequence[Column]) -> Column:
+    """Running sum of two-digit shares, to one digit.
+
+    For an already aggregated, bounded result. Shares are added as decimals, so
+    a sum that ends in 5 rounds the same way every time.
+    """
     window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(name).over(window)
+    return F.round(F.sum(F.col(name).cast("decimal(18,2)")).over(window), 1).cast("double")
 
 
 def in_one_row(*summaries: DataFrame) -> DataFrame:

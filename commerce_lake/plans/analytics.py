@@ -19,7 +19,7 @@ from commerce_lake.functions.text import label_head, label_tail, place_label
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import (
-    grand_total, in_one_row, running_total, share_of_groups,
+    grand_total, in_one_row, running_share, share_of_groups,
 )
 from commerce_lake.plans.models import Models
 
@@ -487,12 +487,12 @@ def revenue_by_state(m: Models) -> DataFrame:
         share_of_groups("exact", 2).alias("pct_revenue"),
         F.round(double("exact") / F.col("orders"), 2).alias("avg_order_value"),
     )
-    running = running_total("pct_revenue", [F.desc("revenue"), F.col("state")])
+    running = running_share("pct_revenue", [F.desc("revenue"), F.col("state")])
     return (
         shown.join(m.state_regions, "state", "left")
         .select(
             "state", "region", "orders", "customers", "revenue", "pct_revenue", "avg_order_value",
-            F.round(running, 1).alias("cum_pct_revenue"),
+            running.alias("cum_pct_revenue"),
         )
         .orderBy(F.desc("revenue"), "state")
     )
@@ -506,10 +506,10 @@ def revenue_by_region(m: Models) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in ("orders", "customers", "revenue")])
         .withColumn("pct_revenue", share_of_groups("revenue", 2))
     )
-    running = running_total("pct_revenue", [F.desc("revenue"), F.col("region")])
+    running = running_share("pct_revenue", [F.desc("revenue"), F.col("region")])
     return regions.select(
         "region", "orders", "customers", "revenue", "pct_revenue",
-        F.round(running, 1).alias("cum_pct_revenue"),
+        running.alias("cum_pct_revenue"),
         F.round(F.col("revenue") / F.col("orders"), 2).alias("avg_order_value"),
     ).orderBy(F.desc("revenue"), "region")
 
@@ -532,13 +532,13 @@ def top_cities(m: Models) -> DataFrame:
         percent(F.col("exact"), grand_total(cities, "exact"), 2).alias("pct_revenue"),
     )
     leading = shown.orderBy(F.desc("revenue"), "city").limit(m.params.pareto_cities)
-    running = running_total("pct_revenue", [F.desc("revenue"), F.col("city")])
+    running = running_share("pct_revenue", [F.desc("revenue"), F.col("city")])
     return (
         leading.withColumn("state", label_tail("city"))
         .join(m.state_regions, "state", "left")
         .select(
             "city", "region", "orders", "customers", "revenue", "pct_revenue",
-            F.round(running, 1).alias("cum_pct_revenue"),
+            running.alias("cum_pct_revenue"),
             label_head("city").alias("city_label"),
         )
         .orderBy(F.desc("revenue"), "city")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from commerce_lake.functions import dates, labels, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
-from commerce_lake.operators.shares import grand_total, in_one_row, running_total, share_of_groups
+from commerce_lake.operators.shares import grand_total, in_one_row, running_share, share_of_groups
 
 POINTS = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1]
 
@@ -59,8 +59,10 @@ def test_shares_and_one_row(spark):
     assert shares == {"a": 25.0, "b": 75.0}
     scalar = {r.k: r.x for r in df.select("k", (F.col("n") / grand_total(df, "n")).alias("x")).collect()}
     assert scalar == {"a": 0.25, "b": 0.75}
-    running = df.withColumn("r", running_total("n", [F.desc("n")]))
-    assert {r.k: r.r for r in running.collect()} == {"b": 3, "a": 4}
+    running = df.withColumn("r", running_share("n", [F.desc("n")]))
+    assert {r.k: r.r for r in running.collect()} == {"b": 3.0, "a": 4.0}
+    tie = spark.createDataFrame([(4.1, 1), (3.85, 2)], "x double, i int").withColumn("r", running_share("x", [F.col("i")]))
+    assert [r.r for r in tie.orderBy("i").collect()] == [4.1, 8.0]
     row = in_one_row(df.agg(F.max("k").alias("k")), df.agg(F.sum("n").alias("n"))).first()
     assert (row.k, row.n) == ("b", 4)
 
