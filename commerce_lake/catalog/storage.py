@@ -297,7 +297,7 @@ def _(spark, sf_dir, folder):
     WHERE review_creation_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1""")
 def _(spark, sf_dir, folder):
     reviews = models(spark, sf_dir).fct_reviews
-    stored = write_partitioned(reviews, folder, "review_creation_date", ["order_id"], ["review_id"])
+    stored = write_partitioned(reviews, folder, "review_creation_date", ["order_id"])
     window = stored.where(
         F.col("review_creation_date").between(F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 20)))
     )
@@ -312,7 +312,7 @@ def _(spark, sf_dir, folder):
     GROUP BY 1""")
 def _(spark, sf_dir, folder):
     reviews = models(spark, sf_dir).fct_reviews
-    layout = ("review_creation_date", ["order_id"], ["review_id"])
+    layout = ("review_creation_date", ["order_id"])
     write_partitioned(reviews, folder, *layout)
     third = reviews.where(F.dayofmonth("review_creation_date") == 3).withColumn(
         "review_score", F.lit(5).cast("bigint")

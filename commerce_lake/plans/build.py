@@ -38,12 +38,13 @@ PARENTS: dict[str, tuple[str, ...]] = {
     "fct_reviews": ("stg_order_reviews",),
 }
 
-# Day column, cluster columns and the columns that make a row unique.
+# Day column and cluster columns.
 PARTITIONED = {
-    "fct_order_items": ("order_purchase_date", ("product_key", "seller_key"), ("order_id", "order_item_id")),
-    "fct_orders": ("order_purchase_date", ("customer_key", "order_status"), ("order_id",)),
-    "fct_reviews": ("review_creation_date", ("order_id",), ("review_id",)),
+    "fct_order_items": ("order_purchase_date", ("product_key", "seller_key")),
+    "fct_orders": ("order_purchase_date", ("customer_key", "order_status")),
+    "fct_reviews": ("review_creation_date", ("order_id",)),
 }
+# Sort columns; the last one separates the rows of one large key.
 CLUSTERED = {
     "fct_payments": ("order_id", "payment_sequential"),
     "dim_customer": ("customer_key",),

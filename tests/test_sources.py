@@ -136,25 +136,23 @@ def test_a_landed_extra_column_still_fails_the_load(spark, raw, tmp_path):
 
 
 def test_partitioned_write_splits_a_hot_day(spark, tmp_path):
-    df = spark.range(9000).select(
-        F.when(F.col("id") % 3 < 2, F.lit("2020-01-01")).otherwise(F.concat(F.lit("2020-02-"), F.lpad((F.col("id") % 20 + 1).cast("string"), 2, "0"))).cast("date").alias("day"),
-        F.lit("same").alias("cluster"),
-        "id",
+    hot = F.when(F.col("id") % 3 < 2, F.lit(0)).otherwise(F.col("id") % 20 + 1)
+    df = spark.range(0, 90_000, 1, 8).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), hot.cast("int")).alias("day"), F.uuid().alias("cluster"), "id"
     )
     path = str(tmp_path / "t")
-    # At this size adaptive execution would merge the ranges again.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    stored = write_partitioned(df, path, "day", ["cluster"], ["id"])
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert stored.schema["day"].dataType.simpleString() == "date" and stored.count() == 9000
-    hot_files = list((tmp_path / "t" / "day=2020-01-01").glob("*.parquet"))
-    assert len(hot_files) > 1
-    plan = stored.where("day = date'2020-02-03'")._jdf.queryExecution().executedPlan().toString()
+    # At this size a day is split only if a partition may hold very little.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    stored = write_partitioned(df, path, "day", ["cluster"])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert stored.schema["day"].dataType.simpleString() == "date" and stored.count() == 90_000
+    assert len(list((tmp_path / "t" / "day=2020-01-01").glob("*.parquet"))) > 1
+    fifth = F.col("day") == date(2020, 1, 6)
+    plan = stored.where(fifth)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
-    changed = df.where("day = date'2020-02-03'").withColumn("cluster", F.lit("new"))
-    stored = replace_days(changed, path, "day", ["cluster"], ["id"])
-    assert stored.count() == 9000
-    assert stored.where("cluster = 'new'").select("day").distinct().count() == 1
+    stored = replace_days(df.where(fifth).withColumn("cluster", F.lit("new")), path, "day", ["cluster"])
+    assert stored.count() == 90_000
+    assert [r.day for r in stored.where("cluster = 'new'").select("day").distinct().collect()] == [date(2020, 1, 6)]
 
 
 def test_clustered_and_replaced_tables(spark, tmp_path):
