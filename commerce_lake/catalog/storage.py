@@ -122,7 +122,7 @@ def _(spark, sf_dir, folder):
 
 
 @_add("S3_column_freeze", """
-    SELECT count(*) AS offered, 'olist_customers_dataset.csv: undeclared column(s) loyalty_tier' AS refusal FROM orders""")
+    SELECT count(*) AS offered, 'customers_dataset.csv: undeclared column(s) loyalty_tier' AS refusal FROM orders""")
 def _(spark, sf_dir, folder):
     widened = raw_tables(spark, sf_dir)["customers"].withColumn("loyalty_tier", F.lit("gold"))
     _offer(widened, folder, "customers")
@@ -181,10 +181,10 @@ def _(spark, sf_dir, folder):
 
 
 @_add("S8_missing_files", """
-    SELECT 'olist_customers_dataset.csv' AS file, count(*) AS rows FROM orders
-    UNION ALL SELECT 'olist_orders_dataset.csv', count(*) FROM orders
-    UNION ALL SELECT unnest(['olist_order_items_dataset.csv', 'olist_order_payments_dataset.csv', 'olist_order_reviews_dataset.csv',
-                             'olist_products_dataset.csv', 'olist_sellers_dataset.csv', 'olist_geolocation_dataset.csv',
+    SELECT 'customers_dataset.csv' AS file, count(*) AS rows FROM orders
+    UNION ALL SELECT 'orders_dataset.csv', count(*) FROM orders
+    UNION ALL SELECT unnest(['order_items_dataset.csv', 'order_payments_dataset.csv', 'order_reviews_dataset.csv',
+                             'products_dataset.csv', 'sellers_dataset.csv', 'geolocation_dataset.csv',
                              'product_category_name_translation.csv']), NULL""")
 def _(spark, sf_dir, folder):
     raw = raw_tables(spark, sf_dir)

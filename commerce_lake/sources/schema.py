@@ -7,7 +7,7 @@ of four types. All raw columns are nullable; required values are checked later.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     DataType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
@@ -63,6 +63,11 @@ def declare(entries: Sequence[Mapping]) -> dict[str, RawTable]:
     return tables
 
 
+def with_file_prefix(tables: Mapping[str, RawTable], prefix: str) -> dict[str, RawTable]:
+    """The same tables under file names that start with a publisher's prefix."""
+    return {name: replace(table, file=prefix + table.file) for name, table in tables.items()}
+
+
 def _columns(spec: str) -> dict[str, str]:
     """`"text: a b | bigint: c"` in file order; a type may appear repeatedly."""
     columns: dict[str, str] = {}
@@ -78,14 +83,14 @@ RAW_TABLES = declare(
     [
         {
             "table": "customers",
-            "file": "olist_customers_dataset.csv",
+            "file": "customers_dataset.csv",
             "columns": _columns(
                 "text: customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"
             ),
         },
         {
             "table": "orders",
-            "file": "olist_orders_dataset.csv",
+            "file": "orders_dataset.csv",
             "columns": _columns(
                 "text: order_id customer_id order_status"
                 " | timestamp: order_purchase_timestamp order_approved_at order_delivered_carrier_date"
@@ -94,7 +99,7 @@ RAW_TABLES = declare(
         },
         {
             "table": "order_items",
-            "file": "olist_order_items_dataset.csv",
+            "file": "order_items_dataset.csv",
             "columns": _columns(
                 "text: order_id | bigint: order_item_id | text: product_id seller_id"
                 " | timestamp: shipping_limit_date | double: price freight_value"
@@ -102,7 +107,7 @@ RAW_TABLES = declare(
         },
         {
             "table": "order_payments",
-            "file": "olist_order_payments_dataset.csv",
+            "file": "order_payments_dataset.csv",
             "columns": _columns(
                 "text: order_id | bigint: payment_sequential | text: payment_type"
                 " | bigint: payment_installments | double: payment_value"
@@ -110,7 +115,7 @@ RAW_TABLES = declare(
         },
         {
             "table": "order_reviews",
-            "file": "olist_order_reviews_dataset.csv",
+            "file": "order_reviews_dataset.csv",
             "columns": _columns(
                 "text: review_id order_id | bigint: review_score"
                 " | text: review_comment_title review_comment_message"
@@ -120,7 +125,7 @@ RAW_TABLES = declare(
         },
         {
             "table": "products",
-            "file": "olist_products_dataset.csv",
+            "file": "products_dataset.csv",
             "columns": _columns(
                 "text: product_id product_category_name"
                 " | bigint: product_name_lenght product_description_lenght product_photos_qty"
@@ -129,12 +134,12 @@ RAW_TABLES = declare(
         },
         {
             "table": "sellers",
-            "file": "olist_sellers_dataset.csv",
+            "file": "sellers_dataset.csv",
             "columns": _columns("text: seller_id seller_zip_code_prefix seller_city seller_state"),
         },
         {
             "table": "geolocation",
-            "file": "olist_geolocation_dataset.csv",
+            "file": "geolocation_dataset.csv",
             "columns": _columns(
                 "text: geolocation_zip_code_prefix | double: geolocation_lat geolocation_lng"
                 " | text: geolocation_city geolocation_state"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from commerce_lake.sources import landing
 from commerce_lake.sources.contract import ContractError, header_of, missing_files, scan, scan_all
-from commerce_lake.sources.schema import RAW_TABLES, DeclarationError, declare
+from commerce_lake.sources.schema import RAW_TABLES, DeclarationError, declare, with_file_prefix
 from commerce_lake.sources.storage import (
     Lake, publish, replace_days, to_client, write_clustered, write_partitioned, write_table,
 )
@@ -95,10 +95,16 @@ def test_part_with_another_header_fails(spark, raw, tmp_path):
         scan(spark, str(tmp_path), RAW_TABLES["product_category_translation"]).collect()
 
 
+def test_files_may_carry_a_publisher_prefix(spark, raw, tmp_path):
+    named = with_file_prefix({"sellers": RAW_TABLES["sellers"]}, "acme_")
+    raw["sellers"].write.option("header", True).csv(str(tmp_path / "acme_sellers_dataset.csv"))
+    assert scan_all(spark, str(tmp_path), named)["sellers"].count() == 2
+
+
 def test_missing_file_is_named(spark, incoming, tmp_path):
     only = {"orders": RAW_TABLES["orders"], "sellers": RAW_TABLES["sellers"]}
     assert missing_files(spark, str(incoming), only) == []
-    with pytest.raises(FileNotFoundError, match="olist_orders_dataset.csv"):
+    with pytest.raises(FileNotFoundError, match="orders_dataset.csv"):
         scan_all(spark, str(tmp_path), only)
 
 
