@@ -5,12 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from commerce_lake.bindings import TEST_PARAMS
 from commerce_lake.catalog.common import Query, over_models, over_tables, with_views
 from commerce_lake.catalog.views import VIEWS
-from commerce_lake.operators.checks import Check, _age_columns, blocking, evaluate
+from commerce_lake.operators.checks import Check, blocking, evaluate, freshness
 from commerce_lake.plans import quality
 
 _KINDS = {
@@ -120,8 +119,7 @@ ORACLES["C13_severity_gate"] = """
 
 @over_tables("events")
 def _freshness(events: DataFrame) -> DataFrame:
-    newest = events.groupBy("event_type").agg(F.max("ts").cast("timestamp").alias("loaded_at"))
-    return newest.select("event_type", *_age_columns(datetime(2024, 2, 1, 11, 30), 36, 72))
+    return freshness(events, "ts", datetime(2024, 2, 1, 11, 30), keys=["event_type"])
 
 
 QUERIES["C12_freshness"] = _freshness
@@ -131,11 +129,10 @@ ORACLES["C12_freshness"] = """
     FROM (SELECT event_type, date_sub('second', max(ts)::TIMESTAMP, TIMESTAMP '2024-02-01 11:30:00') / 3600.0::DOUBLE AS age
           FROM events GROUP BY 1)"""
 
-_LOCATION = [Check("unique", "geo_dim_product", ("product_id",)), Check("not_null", "geo_dim_product", ("product_id",))]
 QUERIES["C1b_location_product_key"] = over_models(
     lambda m: evaluate(quality.ModelTables(m), quality.location_checks())
 )
-ORACLES["C1b_location_product_key"] = _oracle(_LOCATION)
+ORACLES["C1b_location_product_key"] = _oracle(quality.location_checks())
 
 _VALIDATIONS = {
     "V1_row_counts_against_raw": (

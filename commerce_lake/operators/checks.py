@@ -122,16 +122,18 @@ def blocking(results: DataFrame) -> DataFrame:
 
 
 def freshness(
-    df: DataFrame, loaded_at: str, now: datetime, warn_hours: int = 36, error_hours: int = 72
+    df: DataFrame,
+    loaded_at: str,
+    now: datetime,
+    keys: Sequence[str] = (),
+    warn_hours: int = 36,
+    error_hours: int = 72,
 ) -> DataFrame:
-    """Age of the newest row against a given moment."""
-    newest = df.agg(F.max(loaded_at).cast("timestamp").alias("loaded_at"))
-    return newest.select("loaded_at", *_age_columns(now, warn_hours, error_hours))
-
-
-def _age_columns(now: datetime, warn_hours: int, error_hours: int) -> list[Column]:
-    age = F.timestamp_diff("SECOND", F.col("loaded_at"), F.lit(now.isoformat(sep=" ")).cast("timestamp")) / F.lit(3600.0)
+    """Age of the newest row against a given moment, per key if any are given."""
+    newest = df.groupBy(*keys).agg(F.max(loaded_at).cast("timestamp").alias("newest"))
+    moment = F.lit(now.isoformat(sep=" ")).cast("timestamp")
+    age = F.timestamp_diff("SECOND", F.col("newest"), moment) / F.lit(3600.0)
     status = (
         F.when(age.isNull() | (age > error_hours), ERROR).when(age > warn_hours, WARN).otherwise("pass")
     )
-    return [F.round(age, 2).alias("age_hours"), status.alias("status")]
+    return newest.select(*keys, F.round(age, 2).alias("age_hours"), status.alias("status"))

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commerce_lake.functions.numbers import percent_where
+from commerce_lake.functions.numbers import MONEY, percent_where
 from commerce_lake.operators.checks import WARN, Check, evaluate, orphans
 from commerce_lake.operators.shares import in_one_row
 from commerce_lake.params import ORDER_STATUSES, PAYMENT_TYPES, Params
 from commerce_lake.plans.models import Models
-from commerce_lake.functions.numbers import MONEY
 
 
 def _key(model: str, column: str) -> list[Check]:

@@ -64,8 +64,14 @@ def declare(entries: Sequence[Mapping]) -> dict[str, RawTable]:
 
 
 def with_file_prefix(tables: Mapping[str, RawTable], prefix: str) -> dict[str, RawTable]:
-    """The same tables under file names that start with a publisher's prefix."""
-    return {name: replace(table, file=prefix + table.file) for name, table in tables.items()}
+    """The same tables under data set names that start with a publisher's prefix.
+
+    Lookup files, which are not called a data set, keep their names.
+    """
+    return {
+        name: replace(table, file=prefix + table.file) if table.file.endswith("_dataset.csv") else table
+        for name, table in tables.items()
+    }
 
 
 def _columns(spec: str) -> dict[str, str]:

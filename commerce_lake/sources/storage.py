@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +34,12 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise LookupError("spark.checkpoint.dir must name a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="lake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="lake-")
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
