@@ -7,8 +7,10 @@ raw tables would cost: no join, window or sort is added underneath it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from dataclasses import replace
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -218,18 +220,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def t(name: str) -> DataFrame:
-        return read(spark, sf_dir, name)
-
-    return {
-        "customers": customers(t("orders")),
-        "orders": orders(t("orders")),
-        "order_items": order_items(t("lineitem")),
-        "order_payments": order_payments(t("lineitem")),
-        "order_reviews": order_reviews(t("events")),
-        "products": products(t("part")),
-        "sellers": sellers(t("supplier")),
-        "geolocation": geolocation(t("customer")),
-        "product_category_translation": product_category_translation(t("part")),
+class BoundTables(Mapping):
+    """The raw tables by name, each read and bound when first asked for."""
+
+    _BINDINGS = {
+        "customers": (customers, "orders"),
+        "orders": (orders, "orders"),
+        "order_items": (order_items, "lineitem"),
+        "order_payments": (order_payments, "lineitem"),
+        "order_reviews": (order_reviews, "events"),
+        "products": (products, "part"),
+        "sellers": (sellers, "supplier"),
+        "geolocation": (geolocation, "customer"),
+        "product_category_translation": (product_category_translation, "part"),
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.source = cache(lambda table: read(spark, sf_dir, table))
+        self._bound: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._bound:
+            bind, table = self._BINDINGS[name]
+            self._bound[name] = bind(self.source(table))
+        return self._bound[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._BINDINGS)
+
+    def __len__(self) -> int:
+        return len(self._BINDINGS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> BoundTables:
+    return BoundTables(spark, sf_dir)

@@ -4,24 +4,36 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from commerce_lake.bindings import TEST_PARAMS, raw_tables, read, state_regions
+from commerce_lake.bindings import TEST_PARAMS, BoundTables, raw_tables, read, state_regions
 from commerce_lake.plans.marts import dim_date, spine_covering
 from commerce_lake.plans.models import Models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def models(spark: SparkSession, sf_dir: str) -> Models:
-    raw = raw_tables(spark, sf_dir)
-    regions = state_regions(read(spark, sf_dir, "nation"), read(spark, sf_dir, "region"))
-    # The calendar follows the orders it has to cover, so it grows with them.
-    calendar = dim_date(spine_covering(read(spark, sf_dir, "orders"), "o_orderdate"), TEST_PARAMS)
-    return Models(raw, TEST_PARAMS, stored={"dim_date": calendar}, state_regions=regions)
+class BoundModels(Models):
+    """Models over the bound test tables."""
+
+    raw: BoundTables
+
+    @cached_property
+    def state_regions(self) -> DataFrame:
+        return state_regions(self.raw.source("nation"), self.raw.source("region"))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        # The calendar follows the orders it has to cover, so it grows with them.
+        return dim_date(spine_covering(self.raw.source("orders"), "o_orderdate"), self.params)
+
+
+def models(spark: SparkSession, sf_dir: str) -> BoundModels:
+    return BoundModels(raw_tables(spark, sf_dir), TEST_PARAMS)
 
 
 def plain(df: DataFrame) -> DataFrame:

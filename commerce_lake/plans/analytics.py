@@ -22,6 +22,7 @@ from commerce_lake.operators.shares import (
     grand_total, in_one_row, running_share, share_of_groups,
 )
 from commerce_lake.plans.models import Models
+from commerce_lake.sources.schema import RAW_TABLES
 
 PURCHASE_ORDER = ("order_purchase_timestamp", "order_id")
 
@@ -682,10 +683,13 @@ def revenue_by_category_and_city(m: Models) -> DataFrame:
 
 
 def sla_sales(m: Models) -> DataFrame:
-    """Wide line table of orders delivered by the promised date."""
+    """Wide line table of orders delivered by the promised date; durations in seconds."""
     approved, carrier = "order_approved_at", "order_delivered_carrier_date"
     delivered, promised = "order_delivered_customer_date", "order_estimated_delivery_date"
-    kept = m.raw["orders"].where(F.col(delivered) <= F.col(promised))
+    orders, items, products = (
+        m.raw[name].select(*RAW_TABLES[name].schema.names) for name in ("orders", "order_items", "products")
+    )
+    kept = orders.where(F.col(delivered) <= F.col(promised))
     timed = kept.select(
         "*",
         elapsed_seconds(approved, carrier).alias("org_to_carrier_time"),
@@ -694,13 +698,11 @@ def sla_sales(m: Models) -> DataFrame:
         F.lit(True).alias("apply_SLA"),
         elapsed_seconds(promised, delivered).alias("delivery_delay"),
     )
-    lines = m.raw["order_items"].withColumns(
-        {c: F.col(c).cast(MONEY) for c in ("price", "freight_value")}
-    )
+    lines = items.withColumns({c: F.col(c).cast(MONEY) for c in ("price", "freight_value")})
     purchase = "order_purchase_timestamp"
     return (
         timed.join(lines, "order_id")
-        .join(m.raw["products"], "product_id")
+        .join(products, "product_id")
         .withColumns({"month": F.month(purchase), "year": F.year(purchase)})
     )
 

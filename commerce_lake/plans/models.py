@@ -27,11 +27,9 @@ class Models:
         raw: Mapping[str, DataFrame],
         params: Params | None = None,
         stored: Mapping[str, DataFrame] | None = None,
-        state_regions: DataFrame | None = None,
     ):
         self.raw = raw
         self.params = params or Params()
-        self._state_regions = state_regions
         self.stored: set[str] = set()
         for name, df in (stored or {}).items():
             self.store(name, df)
@@ -46,7 +44,7 @@ class Models:
 
     @cached_property
     def state_regions(self) -> DataFrame:
-        return self._state_regions if self._state_regions is not None else labels.state_regions(self.spark)
+        return labels.state_regions(self.spark)
 
     @cached_property
     def stg_customers(self) -> DataFrame:

@@ -110,11 +110,12 @@ class ModelTables(dict):
     """Looks a table up among the raw tables, then among the models."""
 
     def __init__(self, m: Models):
-        super().__init__(m.raw)
+        super().__init__()
         self._models = m
 
     def __missing__(self, name: str) -> DataFrame:
-        return getattr(self._models, name)
+        raw = self._models.raw
+        return raw[name] if name in raw else getattr(self._models, name)
 
 
 def run_checks(m: Models, *kinds: str) -> DataFrame:

@@ -58,7 +58,10 @@ def stg_products(raw: DataFrame) -> DataFrame:
             "product_description_lenght": "product_description_length",
         }
     )
-    measures = [c for c in renamed.columns if c not in ("product_id", "product_category_name")]
+    measures = (
+        "product_name_length", "product_description_length", "product_photos_qty",
+        "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
+    )
     category = blank_to_null(F.lower("product_category_name"))
     return renamed.select(
         trimmed("product_id"), category.alias("product_category_name"), *[whole(c) for c in measures]
