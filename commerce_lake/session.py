@@ -23,7 +23,9 @@ def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession
     }
     if not spark.sparkContext.master.startswith("local"):
         by_volume = (shuffled_bytes or 0) // TARGET_PARTITION_BYTES
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(max(3 * cores, by_volume))
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(configured, 3 * cores, by_volume)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
