@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import packing, pii, quality, secrets, shards
+from commerce_lake.llm import decontam, packing, pii, quality, secrets, shards
 from commerce_lake.llm.common import span_list, written
 
 SHARDS = 40
@@ -43,6 +43,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = tuple(rule.kind for rule in secrets.BASE_RULES)
@@ -77,6 +87,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_containment": op5_benchmark_containment,
     "op7_secret_scan": op7_secret_scan,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_personal_data": op9_personal_data,
