@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import decontam, packing, pii, quality, secrets, shards
+from commerce_lake.llm import decontam, neardup, packing, pii, quality, secrets, shards
 from commerce_lake.llm.common import span_list, written
 
 SHARDS = 40
@@ -53,6 +53,10 @@ def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "documents").select("doc_id", "text"), neardup.Plan(words=2))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = tuple(rule.kind for rule in secrets.BASE_RULES)
@@ -88,6 +92,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_containment": op5_benchmark_containment,
+    "op6_circulant_minhash": op6_circulant_minhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_personal_data": op9_personal_data,
