@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import decontam, neardup, packing, pii, quality, secrets, shards
+from commerce_lake.llm import decontam, lm, neardup, packing, pii, quality, secrets, shards
 from commerce_lake.llm.common import span_list, written
 
 SHARDS = 40
@@ -34,6 +34,10 @@ def _base_digest(kinds: tuple[str, ...]) -> Column:
     return F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*kinds))), 256).alias("base_sha256")
 
 
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     counts = written(quality.measured(docs, drop_text=True), "counts")
@@ -90,6 +94,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_deleted_interpolation": op3_deleted_interpolation,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_containment": op5_benchmark_containment,
     "op6_circulant_minhash": op6_circulant_minhash,
