@@ -32,7 +32,6 @@ kept; further columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,12 +171,15 @@ LINKS = "a long, b long"
 def compare_blocks(plan: Plan):
     """Links between a block of askers and a block of members of one bucket."""
 
-    def run(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
+    signers: list[Signer] = []  # one per task, made for its first block
+
+    def run(rows: pa.Table) -> pa.Table:
         node, group = (rows.column(c).to_numpy() for c in ("node", "group"))
         asks = rows.column("asks").to_numpy(zero_copy_only=False)
-        elements = [e.values.to_numpy() for e in rows.column("elements")]
-        signer = Signer(plan)
+        elements = [e.values.to_numpy() for e in rows.column("elements").combine_chunks()]
+        if not signers:
+            signers.append(Signer(plan))
+        signer = signers[0]
         signatures = np.array([signer.sign(e) for e in elements])
         sizes = np.array([len(e) for e in elements])
         width = signatures.shape[1]
@@ -200,7 +202,7 @@ def compare_blocks(plan: Plan):
                         linked.add(group[j])
                         links.add((int(node[i]), int(node[j])))
         a, b = zip(*sorted(links), strict=True) if links else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
