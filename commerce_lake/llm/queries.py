@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import decontam, lm, neardup, packing, pii, quality, secrets, shards
+from commerce_lake.llm import chat, decontam, lm, neardup, packing, pii, quality, secret_scan, shards, warc
 from commerce_lake.llm.common import span_list, written
 
 SHARDS = 40
@@ -34,6 +34,28 @@ def _base_digest(kinds: tuple[str, ...]) -> Column:
     return F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*kinds))), 256).alias("base_sha256")
 
 
+def op1_prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
+    read = chat.read_back(chat.build(rows, tokenizer_path()), tokenizer_path())
+    masked = F.array_join(F.transform("turns", lambda t: t["masked"]), "")
+    return read.select(
+        F.col("conv").alias("conv_id"), "n_turns", F.sha2(chat.spelled(F.col("turns")), 256).alias("turns_sha256"),
+        F.length(masked).cast("long").alias("loss_chars"), F.sha2(masked, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.derive(warc.responses(pages)).select(
+        "page_id", "kind", "record_id", "refers_to", "concurrent_to", "target_uri", "source_digest", "block_digest",
+        "content_length", "n_links", F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
 def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -62,8 +84,8 @@ def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    base = tuple(rule.kind for rule in secrets.BASE_RULES)
+    found = secret_scan.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = tuple(rule.kind for rule in secret_scan.BASE_RULES)
     return found.select(
         "doc_id", *[_count_of(kind) for kind in base], _base_digest(base), span_list(F.col("spans")).alias("spans")
     )
@@ -94,6 +116,8 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_prefix_tree_chat": op1_prefix_tree_chat,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op3_deleted_interpolation": op3_deleted_interpolation,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_containment": op5_benchmark_containment,
@@ -103,4 +127,50 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_vector_packing": op10_vector_packing,
 }
-ORACLES: dict[str, str] = {}
+
+_CONVERSATIONS = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(
+    length('### : </turn>') + 1
+    + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), ':', '\:'), '</', '<\/'))
+    + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</', '<\/'))
+  )::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_CONTAINMENT = r"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, w[s : s + 9] AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT len(win) AS n FROM windows),
+places AS (
+  SELECT doc_id, s, n, w[s : s + n - 1] AS win
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM lowered, lengths)
+), hits AS (SELECT doc_id, s, n, item_id FROM places JOIN windows USING (win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_prefix_tree_chat": _CONVERSATIONS, "op5_benchmark_containment": _CONTAINMENT}

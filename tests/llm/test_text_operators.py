@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from conftest import SF
 
-from commerce_lake.llm import packing, pii, quality, queries, secrets, shards
+from commerce_lake.llm import packing, pii, quality, queries, secret_scan, shards
 
 rng = random.Random(5)
 SCRAPS = [
@@ -47,30 +47,30 @@ def test_account_numbers_are_validated():
 
 
 def test_secrets_match_the_patterns(documents):
-    rows = secrets.find(documents(TEXTS), spans="found").collect()
-    base = {r.kind for r in secrets.BASE_RULES}
+    rows = secret_scan.find(documents(TEXTS), spans="found").collect()
+    base = {r.kind for r in secret_scan.BASE_RULES}
     for row in rows:
         spans = [(s["kind"], s["start"], s["end"]) for s in row["found"]]
         assert [s for s in spans if s[0] in base] == brute.secrets(TEXTS[row["doc_id"]])
 
 
 def test_trigram_queries():
-    derived = {r.kind: secrets.derive(r) for r in secrets.RULES}
+    derived = {r.kind: secret_scan.derive(r) for r in secret_scan.RULES}
     assert derived["hex"] == []  # scanned in full
     assert derived["access"] == [(frozenset({b"aki", b"kia"}),)]
     options = derived["assign"][0]
     assert frozenset({b"tok", b"oke", b"ken"}) in options and len(options) == 6
-    assert secrets.derive(secrets.Rule("x", r"(abc|de)f*")) == []
-    assert secrets.derive(secrets.Rule("x", r"(?:ab|cd)x?yz")) == [
+    assert secret_scan.derive(secret_scan.Rule("x", r"(abc|de)f*")) == []
+    assert secret_scan.derive(secret_scan.Rule("x", r"(?:ab|cd)x?yz")) == [
         (frozenset({b"abx", b"bxy", b"xyz"}), frozenset({b"aby", b"byz"}), frozenset({b"cdx", b"dxy", b"xyz"}), frozenset({b"cdy", b"dyz"}))
     ]
 
 
 @pytest.mark.parametrize("pattern", [r"(abc|def){2}x", r"a(b|c)+def", r"[ab]cd?efg", r"(?:x|yz)abc\d+end", r"héllo", r"ab(?=cde)cde"])
 def test_no_candidate_is_lost(pattern):
-    rule = secrets.Rule("r", pattern)
+    rule = secret_scan.Rule("r", pattern)
     texts = ["".join(rng.choices(["abc", "def", "x", "a", "b", "cd", "efg", "yz", "1", "end", "HÉLLO", "héllo"], k=8)) for _ in range(2000)]
-    found = secrets.make_scanner((rule,))(texts)
+    found = secret_scan.make_scanner((rule,))(texts)
     import re
 
     assert [[(a, e) for a, _, _, e in f] for f in found] == [[m.span() for m in re.finditer(pattern, t)] for t in texts]
@@ -80,8 +80,8 @@ def test_redaction(spark, documents):
     from pyspark.sql import functions as F
 
     texts = ["x AKIA" + "A" * 16 + " y", "plain", "", "token=abcdefgh" + "0" * 30 + " 🙂 secret: abcdefgh!", None]
-    found = secrets.find(documents(texts, extra=False))
-    out = {r["doc_id"]: r["t"] for r in found.select("doc_id", secrets.redacted(F.col("text"), F.col("spans"), "#").alias("t")).collect()}
+    found = secret_scan.find(documents(texts, extra=False))
+    out = {r["doc_id"]: r["t"] for r in found.select("doc_id", secret_scan.redacted(F.col("text"), F.col("spans"), "#").alias("t")).collect()}
     assert out == {0: "x # y", 1: "plain", 2: "", 3: "# 🙂 #!", 4: None}
 
 
@@ -229,7 +229,7 @@ def test_packing_pads_little(spark):
 
 def test_batches_of_nothing(spark, documents):
     empty = documents(["x"], extra=False).limit(0)
-    assert pii.find(empty).collect() == [] and secrets.find(empty).collect() == []
+    assert pii.find(empty).collect() == [] and secret_scan.find(empty).collect() == []
     assert packing.place(empty, queries.tokenizer_path()).collect() == []
 
 
