@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, StringType
 
 from commerce_lake.llm.common import written
 from commerce_lake.llm.packing import Encoder
@@ -84,7 +85,7 @@ class Forest:
     branches: DataFrame
 
 
-@pandas_udf("array<string>")
+@pandas_udf(ArrayType(StringType()))
 def _chain(paths: pd.Series) -> pd.Series:
     """Digests of all turns so far, from the digests of turns."""
 

@@ -79,3 +79,60 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def words_of(text: str | None) -> list[str]:
+    return WORD.findall(lower(text or ""))
+
+
+def shingles(text: str | None, size: int) -> frozenset:
+    words = words_of(text)
+    if len(words) < size:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(zip(*[words[k:] for k in range(size)], strict=False))
+
+
+def components(texts: dict, size: int, percent: int = 80) -> dict:
+    """doc_id -> smallest doc_id reachable over similar pairs; all pairs are compared."""
+    sets = {i: shingles(t, size) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = [i for i in sorted(texts) if sets[i]]
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            x, y = sets[a], sets[b]
+            if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                both = len(x & y)
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    x, y = find(a), find(b)
+                    parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in texts}
+
+
+BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def containment(texts: dict, items: list[tuple], window: int = 10) -> dict:
+    """doc_id -> (n_words, n_hit, n_items, sorted item ids)."""
+    known: dict[tuple, set] = {}
+    for item, text in items:
+        words = BENCH_WORD.findall(lower(text or ""))
+        for s in range(max(1, len(words) - window + 1) if words else 0):
+            known.setdefault(tuple(words[s : s + window]), set()).add(item)
+    lengths = {len(w) for w in known}
+    out = {}
+    for doc, text in texts.items():
+        words = BENCH_WORD.findall(lower(text or ""))
+        hit, found = set(), set()
+        for n in lengths:
+            for s in range(len(words) - n + 1):
+                if tuple(words[s : s + n]) in known:
+                    hit |= set(range(s, s + n))
+                    found |= known[tuple(words[s : s + n])]
+        out[doc] = (len(words), len(hit), len(found), sorted(map(str, found)))
+    return out
