@@ -52,8 +52,8 @@ class Plan:
     folds: int = 7
     test: int = 2  # the fold that the model never learns from
     held: int = 5  # the fold that weights are learned on
-    block_tokens: int = 4_000_000
-    bucket_entries: int = 2_000_000
+    block_tokens: int = 2_000_000
+    bucket_entries: int = 1_000_000
     rounds: int = 30
     settled: float = 1e-5
 
@@ -82,6 +82,13 @@ def _expand_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_expand(data, "<u8"), dtype=np.uint64)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one after the other: only one block is unpacked at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
 BLOCKS = "block long, keys array<long>, folds array<int>, lengths array<int>, words binary, tokens binary, n_entries long"
 
 
@@ -159,27 +166,26 @@ def requests(blocks: DataFrame, bits: int, plan: Plan, whole: bool) -> DataFrame
     without, they tell nothing and ask for the counts without held-out ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["words"], row["tokens"])
-                fold = np.repeat(row["folds"], row["lengths"])
-                if whole:
-                    kept = block.counts((fold != plan.test) & (fold != plan.held)).astype("<u4")
-                    held = block.counts(fold == plan.held).astype("<u4")
-                else:
-                    kept = held = np.zeros(len(block.keys), "<u4")
-                cuts = np.searchsorted(block.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
-                for bucket, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(block.keys)], strict=True)):
-                    if a < b:
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([bucket], pa.int32()), pa.array([row["block"]], pa.int64()),
-                                pa.array([_squeeze_sorted(block.keys[a:b])], pa.binary()),
-                                pa.array([_squeeze(kept[a:b])], pa.binary()), pa.array([_squeeze(held[a:b])], pa.binary()),
-                                pa.array([whole]),
-                            ],
-                            names=["bucket", "block", "keys", "kept", "held", "whole"],
-                        )
+        for row in _rows(batches):
+            block = Block(row["words"], row["tokens"])
+            fold = np.repeat(row["folds"], row["lengths"])
+            if whole:
+                kept = block.counts((fold != plan.test) & (fold != plan.held)).astype("<u4")
+                held = block.counts(fold == plan.held).astype("<u4")
+            else:
+                kept = held = np.zeros(len(block.keys), "<u4")
+            cuts = np.searchsorted(block.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
+            for bucket, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(block.keys)], strict=True)):
+                if a < b:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([bucket], pa.int32()), pa.array([row["block"]], pa.int64()),
+                            pa.array([_squeeze_sorted(block.keys[a:b])], pa.binary()),
+                            pa.array([_squeeze(kept[a:b])], pa.binary()), pa.array([_squeeze(held[a:b])], pa.binary()),
+                            pa.array([whole]),
+                        ],
+                        names=["bucket", "block", "keys", "kept", "held", "whole"],
+                    )
 
     return blocks.select("block", "folds", "lengths", "words", "tokens").mapInArrow(run, REQUESTS)
 
@@ -231,12 +237,11 @@ def held_out_events(blocks: DataFrame) -> DataFrame:
     """How often held-out pairs occur, with the counts their estimates are made of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["words"], row["tokens"])
-                words, pairs = block.answered(_counts(row))
-                columns = [np.bincount(block.pair_of), pairs, words[block.context], words[block.word]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["times", "pair", "context", "word"])
+        for row in _rows(batches):
+            block = Block(row["words"], row["tokens"])
+            words, pairs = block.answered(_counts(row))
+            columns = [np.bincount(block.pair_of), pairs, words[block.context], words[block.word]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["times", "pair", "context", "word"])
 
     return blocks.select("words", "tokens", "answers").mapInArrow(run, EVENTS)
 
@@ -274,28 +279,27 @@ SCORES = "key long, fold int, n_tokens long, n_known long, base_score double, sc
 
 def scores(blocks: DataFrame, weights: np.ndarray, n: int, v: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row["words"], row["tokens"])
-                words, pairs = block.answered(_counts(row))
-                context = words[block.context]
-                bucket = np.frexp(context.astype(np.float64))[1]  # bit lengths
-                p = (
-                    weights[bucket, 0] * (pairs / np.maximum(context, 1))
-                    + weights[bucket, 1] * (words[block.word] / max(n, 1))
-                    + weights[bucket, 2] / (v + 1)
-                )
-                starts = np.cumsum([0, *row["lengths"][:-1]])
-                per_doc = lambda values: np.add.reduceat(values, starts)  # noqa: B023, E731
-                columns = [
-                    row["keys"], row["folds"], row["lengths"], per_doc((words > 0).astype(np.int64)[block.tokens]),
-                    per_doc(np.log10((words + 1) / (n + v + 1))[block.tokens]), per_doc(np.log10(p)[block.pair_of]),
-                ]
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                    names=["key", "fold", "n_tokens", "n_known", "base_score", "score"],
-                )
+        for row in _rows(batches):
+            block = Block(row["words"], row["tokens"])
+            words, pairs = block.answered(_counts(row))
+            context = words[block.context]
+            bucket = np.frexp(context.astype(np.float64))[1]  # bit lengths
+            p = (
+                weights[bucket, 0] * (pairs / np.maximum(context, 1))
+                + weights[bucket, 1] * (words[block.word] / max(n, 1))
+                + weights[bucket, 2] / (v + 1)
+            )
+            starts = np.cumsum([0, *row["lengths"][:-1]])
+            per_doc = lambda values: np.add.reduceat(values, starts)  # noqa: B023, E731
+            columns = [
+                row["keys"], row["folds"], row["lengths"], per_doc((words > 0).astype(np.int64)[block.tokens]),
+                per_doc(np.log10((words + 1) / (n + v + 1))[block.tokens]), per_doc(np.log10(p)[block.pair_of]),
+            ]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                names=["key", "fold", "n_tokens", "n_known", "base_score", "score"],
+            )
 
     return blocks.select("keys", "folds", "lengths", "words", "tokens", "answers").mapInArrow(run, SCORES)
 
