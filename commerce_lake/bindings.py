@@ -26,7 +26,6 @@ TEST_PARAMS = replace(
     cohort_cutoff=date(2000, 6, 30),
     category_min_customers=250,
     state_min_customers=300,
-    order_count_band=(1_000, 200_000_000_000),
 )
 
 # English names given to the bound part types; PROMO stays untranslated.
@@ -49,8 +48,8 @@ def orders(o: DataFrame) -> DataFrame:
         F.expr(
             """case o_orderstatus
                  when 'F' then 'delivered'
-                 when 'O' then element_at(array('shipped', 'Invoiced ', 'processing'), cast(o_orderkey % 3 as int) + 1)
-                 else if(o_orderkey % 2 = 0, ' canceled', 'unavailable') end"""
+                 when 'O' then element_at(array('shipped', 'Invoiced\\t', 'processing'), cast(o_orderkey % 3 as int) + 1)
+                 else if(o_orderkey % 2 = 0, '\\t canceled', 'unavailable') end"""
         ).alias("order_status"),
         F.expr(
             "cast(o_orderdate as timestamp) + make_dt_interval(0, 0, cast(o_orderkey * 37 % 1440 as int))"
@@ -88,10 +87,10 @@ def orders(o: DataFrame) -> DataFrame:
 
 def customers(o: DataFrame) -> DataFrame:
     return o.select(
-        _text("c", "o_orderkey").alias("customer_id"),
+        F.expr("concat('c', cast(o_orderkey as string), if(o_orderkey % 11 = 0, '\\t', ''))").alias("customer_id"),
         _text("u", "o_custkey * 8 + o_orderkey % 8").alias("customer_unique_id"),
         F.expr("lpad(cast(o_custkey % 400 as string), 5, '0')").alias("customer_zip_code_prefix"),
-        _text(" City_", "(o_custkey + o_orderkey % 2) % (1 + o_custkey % 50)").alias("customer_city"),
+        _text("\\tCity_", "(o_custkey + o_orderkey % 2) % (1 + o_custkey % 50)").alias("customer_city"),
         _text("nation_", "o_custkey % 25").alias("customer_state"),
     )
 
@@ -144,7 +143,7 @@ def order_payments(line: DataFrame) -> DataFrame:
         F.expr("line_id * 2 + part.n").alias("payment_sequential"),
         F.expr(
             """if(part.n = 1, 'voucher',
-                  element_at(array('Credit_Card ', 'boleto', 'debit_card', 'not_defined'),
+                  element_at(array('Credit_Card\\t', 'boleto', 'debit_card', 'not_defined'),
                              cast(l_partkey % 4 as int) + 1))"""
         ).alias("payment_type"),
         F.expr("1 + l_suppkey % 26").alias("payment_installments"),
@@ -157,7 +156,7 @@ def order_reviews(events: DataFrame) -> DataFrame:
         _text("r", "if(event_id % 10 = 0, event_id + 1, event_id)").alias("review_id"),
         _text("o", "event_id * 9 div 10").alias("order_id"),
         F.expr("1 + event_id % 5").alias("review_score"),
-        F.expr("if(event_id % 3 = 0, '  ', event_type)").alias("review_comment_title"),
+        F.expr("if(event_id % 3 = 0, ' \\n\\t', event_type)").alias("review_comment_title"),
         F.expr("if(event_id % 4 = 0, null, props)").alias("review_comment_message"),
         F.col("ts").cast("timestamp").alias("review_creation_date"),
         F.expr(

@@ -288,7 +288,7 @@ _ANALYSES = {
         """SELECT customer_city, product_category_name_english, sum(line_gross_value)::DOUBLE AS life_revenue
            FROM fct_order_items JOIN dim_customer USING (customer_key) JOIN dim_product USING (product_key)
            WHERE product_category_name_english IN ('auto', 'electronics', 'drinks', 'food', 'baby')
-           GROUP BY 1, 2 ORDER BY life_revenue DESC, customer_city, product_category_name_english LIMIT 500"""),
+           GROUP BY 1, 2 ORDER BY life_revenue DESC, customer_city, product_category_name_english"""),
     "A4.3_yearly_gmv": (
         analytics.yearly_gmv,
         "SELECT year, sum(price::DECIMAL(18,2))::DOUBLE AS gmv FROM on_time_lines GROUP BY 1"),

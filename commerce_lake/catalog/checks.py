@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from commerce_lake.bindings import TEST_PARAMS
+from commerce_lake.bindings import TEST_PARAMS, raw_tables
 from commerce_lake.catalog.common import Query, over_models, over_tables, with_views
 from commerce_lake.catalog.views import VIEWS
 from commerce_lake.operators.checks import Check, blocking, evaluate, freshness
 from commerce_lake.plans import quality
+from commerce_lake.plans.build import PARENTS, BuildReport, build, layer_of
+from commerce_lake.sources.storage import Lake, shared_folder
 
 _KINDS = {
     "C1_unique": ("unique",),
@@ -181,5 +185,43 @@ _VALIDATIONS = {
                   round(100.0::DOUBLE * count(*) FILTER (is_payment_reconciled) / count(*), 2) AS reconciled_pct FROM order_totals"""),
 }
 
+_BAND_CHECK = Check("row_count_between", "fct_orders", (), (1, 10))
+_KEPT_CHECK = Check("row_count_between", "dim_date", (), (1, 100_000))
+
+
+def _gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build in which one check fails: its model counts as failed, what is
+    made from it is skipped, the rest is written; rows per written table."""
+    lake = Lake(f"{shared_folder(spark)}/catalog/C15-{uuid.uuid4().hex}", "ci")
+    raw = raw_tables(spark, sf_dir)
+    report = build(raw, lake, TEST_PARAMS, checks=[Check("row_count_between", "geo_dim_product", (), (0, 0)), _BAND_CHECK, _KEPT_CHECK])
+    stored = finished_tables(spark, lake, report)
+    states = [(m, "failed" if m in report.failed else "built") for m in report.built] + [(m, "skipped") for m in report.skipped]
+    rows = spark.createDataFrame(states, "model string, state string")
+    counts = None
+    for name, df in stored.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        counts = one if counts is None else counts.unionAll(one)
+    return rows.join(counts, rows["model"] == counts["name"], "left").select("model", "state", "n")
+
+
+def finished_tables(spark: SparkSession, lake: Lake, report: BuildReport) -> dict[str, DataFrame]:
+    """Tables that a build wrote; staging stays a view."""
+    return {m: spark.read.parquet(lake.path(layer_of(m), m)) for m in report.built if layer_of(m) != "staging"}
+
+
+_BUILT_VIEW = {
+    "dim_date": "(SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)))",
+    "geo_dim_geolocation": "geo_zip", "fact_sale_order_location": "geo_sales",
+    "mart_revenue_by_location": "geo_places",
+}
+_SKIPPED = ("fact_revenue_by_product_seller_location", "mart_seller_by_location")
+_FAILED = ("fct_orders", "geo_dim_product")
+QUERIES["C15_gated_build"] = _gated_build
+ORACLES["C15_gated_build"] = with_views(VIEWS, "\nUNION ALL ".join(
+    f"SELECT '{m}' AS model, '{'skipped' if m in _SKIPPED else 'failed' if m in _FAILED else 'built'}' AS state, "
+    + ("NULL::BIGINT" if m in _SKIPPED or layer_of(m) == "staging" else f"(SELECT count(*) FROM {_BUILT_VIEW.get(m) or _VIEW_OF.get(m, m)})")
+    + " AS n" for m in PARENTS))
+
 QUERIES.update({name: over_models(build) for name, (build, _) in _VALIDATIONS.items()})
 ORACLES.update({name: with_views(VIEWS, sql) for name, (_, sql) in _VALIDATIONS.items()})

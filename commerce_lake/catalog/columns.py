@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from commerce_lake.bindings import state_regions
 from commerce_lake.catalog.common import Registry
+from commerce_lake.catalog.views import stripped
 from commerce_lake.functions import dates, labels, numbers, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group
@@ -27,27 +28,29 @@ def _count_by(df, *columns):
 
 
 @add("P1_trim_codes", "orders",
-     "SELECT trim('  ' || o_orderpriority || ' ') AS code, count(*) AS n FROM orders GROUP BY 1")
+     f"SELECT {stripped("chr(9) || ' ' || o_orderpriority || chr(13) || chr(10)")} AS code, count(*) AS n FROM orders GROUP BY 1")
 def _(orders):
-    padded = orders.select(F.concat(F.lit("  "), "o_orderpriority", F.lit(" ")).alias("code"))
+    padded = orders.select(F.concat(F.lit("\t "), "o_orderpriority", F.lit("\r\n")).alias("code"))
     return _count_by(padded.select(text.trimmed("code")), "code")
 
 
 @add("P2_lower_text", "customer",
-     "SELECT lower(trim(c_mktsegment)) AS c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
+     f"SELECT lower({stripped("c_mktsegment || chr(9) || chr(160)")}) AS c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
 def _(customer):
-    return _count_by(customer.select(text.lower_text("c_mktsegment")), "c_mktsegment")
+    dirty = customer.withColumn("c_mktsegment", F.concat("c_mktsegment", F.lit("\t\u00a0")))
+    return _count_by(dirty.select(text.lower_text("c_mktsegment")), "c_mktsegment")
 
 
-@add("P3_upper_code", "part", "SELECT upper(trim(p_brand)) AS p_brand, count(*) AS n FROM part GROUP BY 1")
+@add("P3_upper_code", "part", f"SELECT upper({stripped("chr(10) || p_brand")}) AS p_brand, count(*) AS n FROM part GROUP BY 1")
 def _(part):
-    return _count_by(part.select(text.upper_code("p_brand")), "p_brand")
+    dirty = part.withColumn("p_brand", F.concat(F.lit("\n"), "p_brand"))
+    return _count_by(dirty.select(text.upper_code("p_brand")), "p_brand")
 
 
 @add("P4_blank_to_null", "part",
-     "SELECT nullif(trim(CASE WHEN p_size < 5 THEN '  ' ELSE p_type END), '') AS kind, count(*) AS n FROM part GROUP BY 1")
+     f"SELECT nullif({stripped("CASE WHEN p_size < 5 THEN chr(10) || chr(9) ELSE p_type END")}, '') AS kind, count(*) AS n FROM part GROUP BY 1")
 def _(part):
-    dirty = F.when(F.col("p_size") < 5, "  ").otherwise(F.col("p_type"))
+    dirty = F.when(F.col("p_size") < 5, "\n\t").otherwise(F.col("p_type"))
     return _count_by(part.select(text.blank_to_null(dirty).alias("kind")), "kind")
 
 

@@ -6,11 +6,9 @@ names, reads it back through the source or sink under test and summarises it.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
-from pathlib import PurePosixPath
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +19,7 @@ from commerce_lake.functions.numbers import MONEY
 from commerce_lake.plans import analytics
 from commerce_lake.plans.marts import spine_covering
 from commerce_lake.sources import landing
-from commerce_lake.sources.contract import ContractError, location, missing_files, scan
+from commerce_lake.sources.contract import ContractError, location, missing_files, refusing, scan
 from commerce_lake.sources.schema import RAW_TABLES
 from commerce_lake.sources.storage import (
     Lake, publish, replace_days, shared_folder, to_client, write_clustered, write_json_records,
@@ -37,7 +35,8 @@ _STAMP = datetime(2024, 2, 1, 12)
 def _add(name: str, sql: str):
     def wrap(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            folder = f"{shared_folder(spark)}/catalog/{PurePosixPath(sf_dir).name}/{name}"
+            # A folder per run: sessions do not meet, and logs start empty.
+            folder = f"{shared_folder(spark)}/catalog/{name}-{uuid.uuid4().hex}"
             return plain(build(spark, sf_dir, folder))
 
         QUERIES[name] = run
@@ -121,32 +120,84 @@ def _(spark, sf_dir, folder):
     return filled.select(F.inline("rows"))
 
 
-@_add("S3_column_freeze", """
-    SELECT count(*) AS offered, 'customers_dataset.csv: undeclared column(s) loyalty_tier' AS refusal FROM orders""")
-def _(spark, sf_dir, folder):
-    widened = raw_tables(spark, sf_dir)["customers"].withColumn("loyalty_tier", F.lit("gold"))
-    _offer(widened, folder, "customers")
+def _refusal(table: str, read) -> str:
+    """What a contract says against a read: its message without the file's path."""
     try:
-        scan(spark, folder, RAW_TABLES["customers"])
-        refusal = "none"
+        with refusing(RAW_TABLES[table]):
+            read()
+        return "none"
     except ContractError as error:
-        refusal = str(error)
-    return widened.agg(F.count("*").alias("offered")).select("offered", F.lit(refusal).alias("refusal"))
+        return str(error).split(" in file:")[0].split(" in /")[0]
+
 
+def _append(df: DataFrame, folder: str, table: str) -> None:
+    """One more part file of a table."""
+    df.coalesce(1).write.mode("append").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(location(folder, RAW_TABLES[table]))
 
-@_add("S4_type_freeze", "SELECT count(*) AS offered, TRUE AS refused FROM lineitem")
+
+@_add("S3_column_freeze", """
+    SELECT n AS offered, offer, refused FROM (SELECT count(*) AS n FROM orders), (
+      SELECT 'every part has an extra column' AS offer, TRUE AS refused
+      UNION ALL SELECT 'one part has an extra column', TRUE
+      UNION ALL SELECT 'one part has another column', TRUE
+      UNION ALL SELECT 'one part is reordered', TRUE
+      UNION ALL SELECT 'landing a reordered part', TRUE
+      UNION ALL SELECT 'as declared', FALSE)""")
+def _(spark, sf_dir, folder):
+    customers = raw_tables(spark, sf_dir)["customers"]
+    *first, city, state = customers.columns
+    extra = customers.withColumn("loyalty_tier", F.lit("gold"))
+    few = customers.limit(3)
+    parts = {
+        "one part has an extra column": few.withColumn("loyalty_tier", F.lit("gold")),
+        "one part has another column": few.withColumnRenamed(state, "loyalty_tier"),
+        "one part is reordered": few.select(*first, state, city),
+        "as declared": few.limit(0),
+    }
+    said = []
+    _offer(extra, f"{folder}/wide", "customers")
+    said.append(("every part has an extra column", _refusal("customers", lambda: scan(spark, f"{folder}/wide", RAW_TABLES["customers"]))))
+    for k, (offer, later) in enumerate(parts.items()):
+        place = f"{folder}/{k}"
+        _offer(customers, place, "customers")
+        _append(later, place, "customers")
+        # One column is asked for; all are checked.
+        said.append((offer, _refusal("customers", lambda p=place: scan(spark, p, RAW_TABLES["customers"]).agg(F.max("customer_id")).collect())))
+    only = {"customers": RAW_TABLES["customers"]}
+    landed = _refusal("customers", lambda: landing.land(spark, f"{folder}/2", f"{folder}/zone", date(2024, 1, 1), _STAMP, only))
+    said.append(("landing a reordered part", landed))
+    offered = customers.agg(F.count("*").alias("offered"))
+    # A refusal names the file; which part it names depends on the listing.
+    refused = [(offer, text.startswith("customers_dataset.csv: ")) for offer, text in said]
+    rows = F.inline(F.array(*[F.struct(F.lit(o).alias("offer"), F.lit(r).alias("refused")) for o, r in refused]))
+    return offered.select("offered", rows)
+
+
+@_add("S4_type_freeze", """
+    SELECT count(*) AS offered, TRUE AS clean_loads, TRUE AS wrong_type_refused, TRUE AS extra_cell_refused FROM lineitem""")
 def _(spark, sf_dir, folder):
     items = raw_tables(spark, sf_dir)["order_items"]
     spoiled = items.withColumn(
         "price", F.when(F.col("order_item_id") % 97 == 0, "fifty-eight").otherwise(F.col("price").cast("string"))
     )
-    _offer(spoiled, folder, "order_items")
-    try:
-        scan(spark, folder, RAW_TABLES["order_items"]).agg(F.sum("price")).first()
-        refused = False
-    except (PySparkException, Py4JJavaError):
-        refused = True
-    return spoiled.agg(F.count("*").alias("offered")).select("offered", F.lit(refused).alias("refused"))
+    # A comma inside an unquoted last value is one more cell.
+    widened = items.withColumn("freight_value", F.concat(F.col("freight_value").cast("string"), F.lit(",EXTRA")))
+    _offer(items, f"{folder}/clean", "order_items")
+    _offer(spoiled, f"{folder}/spoiled", "order_items")
+    widened.write.options(header="true", quote="\u0000").csv(location(f"{folder}/wide", RAW_TABLES["order_items"]))
+
+    def said(place: str) -> str:
+        # Neither spoiled column is asked for.
+        read = scan(spark, f"{folder}/{place}", RAW_TABLES["order_items"])
+        return _refusal("order_items", lambda: read.agg(F.max("order_id")).collect())
+
+    refused = lambda place: F.lit("alformed" in said(place) or "MALFORMED" in said(place))
+    return scan(spark, f"{folder}/clean", RAW_TABLES["order_items"]).agg(F.count("*").alias("offered")).select(
+        "offered", F.lit(said("clean") == "none").alias("clean_loads"),
+        refused("spoiled").alias("wrong_type_refused"), refused("wide").alias("extra_cell_refused"),
+    )
 
 
 @_add("S5_all_null_column", "SELECT 'timestamp' AS type, count(*) AS n, count(*) AS empty FROM orders")
@@ -161,12 +212,12 @@ def _(spark, sf_dir, folder):
 
 
 @_add("S6_blank_timestamp_is_null", """
-    SELECT trim(order_status) AS status, count(*) AS n, count(order_approved_at) AS approved,
+    SELECT order_status AS status, count(*) AS n, count(order_approved_at) AS approved,
            count(order_delivered_customer_date) AS delivered, max(order_delivered_customer_date) AS last_delivered
     FROM raw_orders GROUP BY 1""")
 def _(spark, sf_dir, folder):
     scanned = _rescanned(spark, sf_dir, folder, "orders")
-    return scanned.groupBy(F.trim("order_status").alias("status")).agg(
+    return scanned.groupBy(F.col("order_status").alias("status")).agg(
         F.count("*").alias("n"), F.count("order_approved_at").alias("approved"),
         F.count("order_delivered_customer_date").alias("delivered"),
         F.max("order_delivered_customer_date").alias("last_delivered"),
@@ -259,6 +310,19 @@ def _(spark, sf_dir, folder):
     )
 
 
+@_add("S11b_refused_load_keeps_the_last", """
+    SELECT 'order_items_dataset.csv' AS refused_file, 'first' AS load_id, count(*) AS n FROM lineitem""")
+def _(spark, sf_dir, folder):
+    items = raw_tables(spark, sf_dir)["order_items"]
+    only = {"order_items": RAW_TABLES["order_items"]}
+    _offer(items, f"{folder}/good", "order_items")
+    _offer(items.withColumn("price", F.lit("fifty-eight")), f"{folder}/bad", "order_items")
+    landing.load(spark, f"{folder}/good", f"{folder}/raw", "first", _STAMP, only)
+    said = _refusal("order_items", lambda: landing.load(spark, f"{folder}/bad", f"{folder}/raw", "second", _STAMP, only))
+    kept = _count_by(landing.read_raw(spark, f"{folder}/raw", only)["order_items"], "load_id")
+    return kept.select(F.lit(said.split(":")[0]).alias("refused_file"), "load_id", "n")
+
+
 @_add("S12_load_id", "SELECT 'second' AS load_id, TRUE AS logged, count(*) AS n FROM orders")
 def _(spark, sf_dir, folder):
     orders = _loaded_twice(spark, sf_dir, folder)["orders"]

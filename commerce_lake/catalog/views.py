@@ -5,6 +5,12 @@ quantile_cont, durations by date_sub, so that the two can disagree.
 """
 
 MONEY = "DECIMAL(18,2)"
+SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def stripped(value: str) -> str:
+    """The value without white space at its ends, by pattern."""
+    return f"regexp_replace({value}, '^{SPACE}+|{SPACE}+$', '', 'g')"
 
 
 def _hours(end: str, start: str) -> str:
@@ -29,13 +35,13 @@ VIEWS: dict[str, str] = {
               FROM (SELECT o_orderkey, o_orderdate::TIMESTAMP + to_minutes(o_orderkey * 37 % 1440) AS purchase,
                            CASE o_orderstatus
                                 WHEN 'F' THEN 'delivered'
-                                WHEN 'O' THEN CASE o_orderkey % 3 WHEN 0 THEN 'shipped' WHEN 1 THEN 'Invoiced ' ELSE 'processing' END
-                                ELSE CASE WHEN o_orderkey % 2 = 0 THEN ' canceled' ELSE 'unavailable' END END AS order_status
+                                WHEN 'O' THEN CASE o_orderkey % 3 WHEN 0 THEN 'shipped' WHEN 1 THEN 'Invoiced' || chr(9) ELSE 'processing' END
+                                ELSE CASE WHEN o_orderkey % 2 = 0 THEN chr(9) || ' canceled' ELSE 'unavailable' END END AS order_status
                     FROM orders))""",
     "raw_customers": """
-        SELECT 'c' || o_orderkey AS customer_id, 'u' || (o_custkey * 8 + o_orderkey % 8) AS customer_unique_id,
+        SELECT 'c' || o_orderkey || CASE WHEN o_orderkey % 11 = 0 THEN chr(9) ELSE '' END AS customer_id, 'u' || (o_custkey * 8 + o_orderkey % 8) AS customer_unique_id,
                lpad((o_custkey % 400)::VARCHAR, 5, '0') AS customer_zip_code_prefix,
-               ' City_' || ((o_custkey + o_orderkey % 2) % (1 + o_custkey % 50)) AS customer_city,
+               chr(9) || 'City_' || ((o_custkey + o_orderkey % 2) % (1 + o_custkey % 50)) AS customer_city,
                'nation_' || (o_custkey % 25) AS customer_state
         FROM orders""",
     "line_cents": """
@@ -54,7 +60,7 @@ VIEWS: dict[str, str] = {
         FROM line_cents""",
     "raw_order_payments": """
         SELECT 'o' || l_orderkey AS order_id, line_id * 2 AS payment_sequential,
-               CASE l_partkey % 4 WHEN 0 THEN 'Credit_Card ' WHEN 1 THEN 'boleto' WHEN 2 THEN 'debit_card' ELSE 'not_defined' END AS payment_type,
+               CASE l_partkey % 4 WHEN 0 THEN 'Credit_Card' || chr(9) WHEN 1 THEN 'boleto' WHEN 2 THEN 'debit_card' ELSE 'not_defined' END AS payment_type,
                1 + l_suppkey % 26 AS payment_installments,
                (due_cents - CASE WHEN l_partkey % 10 = 0 THEN 500 ELSE 0 END) / 100.0::DOUBLE AS payment_value
         FROM due_lines
@@ -64,7 +70,7 @@ VIEWS: dict[str, str] = {
     "raw_order_reviews": """
         SELECT 'r' || CASE WHEN event_id % 10 = 0 THEN event_id + 1 ELSE event_id END AS review_id,
                'o' || (event_id * 9 // 10) AS order_id, 1 + event_id % 5 AS review_score,
-               CASE WHEN event_id % 3 = 0 THEN '  ' ELSE event_type END AS review_comment_title,
+               CASE WHEN event_id % 3 = 0 THEN ' ' || chr(10) || chr(9) ELSE event_type END AS review_comment_title,
                CASE WHEN event_id % 4 = 0 THEN NULL ELSE props END AS review_comment_message,
                ts::TIMESTAMP AS review_creation_date,
                CASE WHEN event_id % 37 = 0 THEN NULL ELSE ts::TIMESTAMP + to_hours(event_id % 90) END AS review_answer_timestamp
@@ -93,40 +99,40 @@ VIEWS: dict[str, str] = {
         FROM customer""",
     "state_region": "SELECT n_name AS state, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey",
     # Staging.
-    "stg_customers": """
-        SELECT trim(customer_id) AS customer_id, trim(customer_unique_id) AS customer_unique_id,
-               trim(customer_zip_code_prefix) AS customer_zip_code_prefix,
-               lower(trim(customer_city)) AS customer_city, upper(trim(customer_state)) AS customer_state
+    "stg_customers": f"""
+        SELECT {stripped("customer_id")} AS customer_id, {stripped("customer_unique_id")} AS customer_unique_id,
+               {stripped("customer_zip_code_prefix")} AS customer_zip_code_prefix,
+               lower({stripped("customer_city")}) AS customer_city, upper({stripped("customer_state")}) AS customer_state
         FROM raw_customers""",
-    "stg_orders": "SELECT * REPLACE (lower(trim(order_status)) AS order_status) FROM raw_orders",
+    "stg_orders": f"""SELECT * REPLACE (lower({stripped("order_status")}) AS order_status) FROM raw_orders""",
     "stg_order_items": f"""
         SELECT * REPLACE (price::{MONEY} AS price, freight_value::{MONEY} AS freight_value) FROM raw_order_items""",
     "stg_order_payments": f"""
-        SELECT * REPLACE (lower(trim(payment_type)) AS payment_type, payment_value::{MONEY} AS payment_value)
+        SELECT * REPLACE (lower({stripped("payment_type")}) AS payment_type, payment_value::{MONEY} AS payment_value)
         FROM raw_order_payments""",
-    "stg_order_reviews": """
+    "stg_order_reviews": f"""
         SELECT * EXCLUDE (pick) FROM (
-          SELECT * REPLACE (nullif(trim(review_comment_title), '') AS review_comment_title,
-                            nullif(trim(review_comment_message), '') AS review_comment_message),
+          SELECT * REPLACE (nullif({stripped("review_comment_title")}, '') AS review_comment_title,
+                            nullif({stripped("review_comment_message")}, '') AS review_comment_message),
                  row_number() OVER (PARTITION BY review_id
                                     ORDER BY review_answer_timestamp DESC NULLS LAST, order_id) AS pick
           FROM raw_order_reviews) WHERE pick = 1""",
-    "stg_products": """
-        SELECT product_id, nullif(trim(lower(product_category_name)), '') AS product_category_name,
+    "stg_products": f"""
+        SELECT product_id, nullif({stripped("lower(product_category_name)")}, '') AS product_category_name,
                product_name_lenght AS product_name_length, product_description_lenght AS product_description_length,
                product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm
         FROM raw_products""",
-    "stg_sellers": """
-        SELECT * REPLACE (lower(trim(seller_city)) AS seller_city, upper(trim(seller_state)) AS seller_state)
+    "stg_sellers": f"""
+        SELECT * REPLACE (lower({stripped("seller_city")}) AS seller_city, upper({stripped("seller_state")}) AS seller_state)
         FROM raw_sellers""",
-    "stg_geolocation": """
+    "stg_geolocation": f"""
         SELECT geolocation_zip_code_prefix, geolocation_lat::DECIMAL(18,9) AS geolocation_lat,
                geolocation_lng::DECIMAL(18,9) AS geolocation_lng,
-               lower(trim(geolocation_city)) AS geolocation_city, upper(trim(geolocation_state)) AS geolocation_state
+               lower({stripped("geolocation_city")}) AS geolocation_city, upper({stripped("geolocation_state")}) AS geolocation_state
         FROM raw_geolocation""",
-    "stg_translation": """
-        SELECT lower(trim(product_category_name)) AS product_category_name,
-               lower(trim(product_category_name_english)) AS product_category_name_english
+    "stg_translation": f"""
+        SELECT lower({stripped("product_category_name")}) AS product_category_name,
+               lower({stripped("product_category_name_english")}) AS product_category_name_english
         FROM raw_translation""",
     # Intermediate.
     "zip_points": """

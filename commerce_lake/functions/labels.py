@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from commerce_lake.params import Params
+
 # Bucket limits and the labels that appear in results.
 LATENESS_ON_TIME = "0  on time / early"
 LATENESS_UPPER_DAYS = ((3, "1  1-3 days late"), (7, "2  4-7 days late"), (15, "3  8-15 days late"))
@@ -16,9 +18,6 @@ RECENCY_REST = "540+ days"
 FIRST_UNDELIVERED = "undelivered first order"
 FIRST_LATE = "first order LATE"
 FIRST_ON_TIME = "first order on time"
-TIER_TOP = "Top 20 cities"
-TIER_MID = "Mid-tier cities (>5 orders)"
-TIER_TAIL = "Long tail (≤5 orders)"
 
 # Federal units of Brazil by official region.
 REGION_STATES = {
@@ -62,6 +61,18 @@ def first_experience(is_late: Column) -> Column:
     )
 
 
+def tier_top(params: Params) -> str:
+    return f"Top {params.pareto_cities} cities"
+
+
+def tier_mid(params: Params) -> str:
+    return f"Mid-tier cities (>{params.tail_orders} orders)"
+
+
+def tier_tail(params: Params) -> str:
+    return f"Long tail (≤{params.tail_orders} orders)"
+
+
 def state_regions(spark):
     """(state, region): 27 rows, so a join against it is always broadcast."""
     rows = [(state, region) for region, states in REGION_STATES.items() for state in states]

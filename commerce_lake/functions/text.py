@@ -6,22 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters with Unicode's White_Space property.
+WHITE_SPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
+def stripped(col: Column | str) -> Column:
+    """Text without white space at its ends: tabs and line breaks as well as spaces."""
+    return F.trim(F.col(col) if isinstance(col, str) else col, F.lit(WHITE_SPACE))
+
+
 def trimmed(name: str) -> Column:
-    return F.trim(F.col(name)).alias(name)
+    return stripped(name).alias(name)
 
 
 def lower_text(name: str) -> Column:
-    return F.lower(F.trim(F.col(name))).alias(name)
+    return F.lower(stripped(name)).alias(name)
 
 
 def upper_code(name: str) -> Column:
-    return F.upper(F.trim(F.col(name))).alias(name)
+    return F.upper(stripped(name)).alias(name)
 
 
 def blank_to_null(col: Column | str) -> Column:
     """Trimmed text, with an empty result turned into null."""
-    col = F.col(col) if isinstance(col, str) else col
-    return F.nullif(F.trim(col), F.lit(""))
+    return F.nullif(stripped(col), F.lit(""))
 
 
 def or_unknown(col: Column | str) -> Column:

@@ -37,6 +37,5 @@ class Params:
     pareto_cities: int = 20
     tail_orders: int = 5
     head_sizes: tuple[int, ...] = (1, 5, 10, 25, 50, 100)
-    sunburst_rows: int = 500
     order_count_band: tuple[int, int] = (90_000, 110_000)
     installment_band: tuple[int, int] = (1, 24)

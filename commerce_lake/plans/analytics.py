@@ -63,13 +63,13 @@ def headline_metrics(m: Models) -> DataFrame:
         # Durations are whole hours up to 180 days: at most 4,321 values to keep.
         F.round(F.percentile(F.when(plausible, F.col("delivery_days")), 0.5), 1).alias("median_delivery_days"),
     )
-    from_items = m.fct_order_items.agg(
-        F.count("*").alias("order_lines_total"),
-        F.countDistinct("seller_key").alias("sellers_with_sales"),
-        F.countDistinct("product_key").alias("products_with_sales"),
+    # One pass by seller and product, then one by seller, instead of a row copy
+    # per distinct count; likewise by place below.
+    sold = m.fct_order_items.groupBy("seller_key", "product_key").agg(F.count("*").alias("lines"))
+    from_items = in_one_row(
+        sold.agg(F.sum("lines").alias("order_lines_total"), F.countDistinct("seller_key").alias("sellers_with_sales")),
+        sold.agg(F.countDistinct("product_key").alias("products_with_sales")),
     )
-    # One pass by place, then one over places, instead of a row copy per
-    # distinct count.
     places = m.dim_customer.groupBy("customer_city", "customer_state").agg(
         F.count("*").alias("customers"),
         F.count_if(F.col("order_count") > 1).alias("placed_again"),
@@ -378,16 +378,17 @@ def second_order_histogram(m: Models, bins: int = 37, cap: int = 365) -> DataFra
 
 def repeat_rate_by_first_category(m: Models) -> DataFrame:
     """Category of a first order is that of its highest-priced line."""
-    first = _first_orders(m).select("customer_key", "order_id")
+    # First orders meet their lines before lines meet products or are ranked.
+    first = _first_orders(m).select("customer_key", F.col("order_id").alias("first_order"))
     lines = m.fct_order_items.select("order_id", "product_key", "price", "order_item_id")
-    named = lines.join(
+    named = lines.join(first, F.col("order_id") == F.col("first_order")).join(
         m.dim_product.select("product_key", F.col("product_category_name_english").alias("category")),
         "product_key",
     )
     top_line = first_per_group(named, ["order_id"], [F.desc("price"), F.col("order_item_id")])
     customers = m.dim_customer.select("customer_key", "order_count")
     by_category = (
-        first.join(top_line.select("order_id", "category"), "order_id")
+        top_line.select("customer_key", "category")
         .join(customers, "customer_key")
         .groupBy("category")
         .agg(
@@ -601,9 +602,9 @@ def city_tiers(m: Models) -> DataFrame:
         return F.col(f"all_{kind}") - F.col(f"top_{kind}") - F.col(f"all_tail_{kind}") + F.col(f"top_tail_{kind}")
 
     tiers = (
-        (labels.TIER_TOP, F.col("top_n"), F.col("top_r")),
-        (labels.TIER_MID, neither("n"), neither("r")),
-        (labels.TIER_TAIL, F.col("all_tail_n"), F.col("all_tail_r")),
+        (labels.tier_top(m.params), F.col("top_n"), F.col("top_r")),
+        (labels.tier_mid(m.params), neither("n"), neither("r")),
+        (labels.tier_tail(m.params), F.col("all_tail_n"), F.col("all_tail_r")),
     )
     rows = [
         F.struct(
@@ -675,7 +676,6 @@ def revenue_by_category_and_city(m: Models) -> DataFrame:
         .groupBy("customer_city", "product_category_name_english")
         .agg(F.sum("revenue").alias("life_revenue"))
         .orderBy(F.desc("life_revenue"), "customer_city", "product_category_name_english")
-        .limit(m.params.sunburst_rows)
     )
 
 
@@ -708,4 +708,15 @@ def sla_sales(m: Models) -> DataFrame:
 
 
 def yearly_gmv(m: Models) -> DataFrame:
-    return sla_sales(m).groupBy("year").agg(F.sum("price").alias("gmv")).orderBy("year")
+    """Value of lines inside the promise by year of purchase, summed per
+    product and year before products, which must exist, are looked up."""
+    delivered, promised = "order_delivered_customer_date", "order_estimated_delivery_date"
+    kept = m.raw["orders"].where(F.col(delivered) <= F.col(promised)).select(
+        "order_id", F.year("order_purchase_timestamp").alias("year")
+    )
+    by_order = m.raw["order_items"].groupBy("order_id", "product_id").agg(F.sum(F.col("price").cast(MONEY)).alias("gmv"))
+    by_product = by_order.join(kept, "order_id").groupBy("product_id", "year").agg(F.sum("gmv").alias("gmv"))
+    return (
+        by_product.join(m.raw["products"].select("product_id"), "product_id")
+        .groupBy("year").agg(F.sum("gmv").alias("gmv")).orderBy("year")
+    )

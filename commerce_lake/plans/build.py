@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
 
 from commerce_lake.operators.checks import Check, blocking, evaluate
 from commerce_lake.params import Params
 from commerce_lake.plans.models import Models
-from commerce_lake.plans.quality import ModelTables, declared_checks
+from commerce_lake.plans.quality import ModelTables, declared_checks, location_checks
 from commerce_lake.sources.storage import Lake, write_clustered, write_partitioned, write_table
 
 # Each model with the tables it is made from, parents before children.
@@ -36,6 +38,14 @@ PARENTS: dict[str, tuple[str, ...]] = {
     "fct_orders": ("int_order_lifecycle", "int_order_payment_totals"),
     "fct_payments": ("stg_order_payments",),
     "fct_reviews": ("stg_order_reviews",),
+    "geo_dim_geolocation": ("geolocation",),
+    "geo_dim_product": ("products", "product_category_translation"),
+    "fact_sale_order_location": ("orders", "customers", "order_payments", "geo_dim_geolocation"),
+    "fact_revenue_by_product_seller_location": (
+        "order_items", "orders", "geo_dim_product", "sellers", "geo_dim_geolocation",
+    ),
+    "mart_revenue_by_location": ("fact_sale_order_location",),
+    "mart_seller_by_location": ("fact_revenue_by_product_seller_location",),
 }
 
 # Day column and cluster columns.
@@ -107,17 +117,19 @@ def build(
     params: Params | None = None,
     only: list[str] | None = None,
     checks: list[Check] | None = None,
+    threads: int = 4,
 ) -> BuildReport:
     """Write every model, running each check once the tables it names are there.
 
-    A failed error check marks its model as failed and everything downstream
-    of it as skipped; unrelated models go on. Only check results, one row per
+    Up to `threads` models whose parents are ready are written side by side. A
+    failed error check marks its model as failed and everything downstream of
+    it as skipped; unrelated models go on. Only check results, one row per
     declared check, come to the driver.
     """
     m = Models(raw, params)
     tables = ModelTables(m)
     selected = with_ancestors(only) if only else set(PARENTS)
-    pending = list(checks if checks is not None else declared_checks(m.params))
+    pending = list(checks if checks is not None else [*declared_checks(m.params), *location_checks()])
     ready, report = set(raw), BuildReport()
 
     def run_ready_checks() -> None:
@@ -131,14 +143,39 @@ def build(
                     report.failed.append(row.model)
 
     run_ready_checks()
-    for model, parents in PARENTS.items():
-        if model not in selected:
-            continue
-        if any(p in report.failed or p in report.skipped for p in parents):
-            report.skipped.append(model)
-            continue
-        m.store(model, write_model(model, getattr(m, model), lake))
-        report.built.append(model)
-        ready.add(model)
-        run_ready_checks()
+    waiting = [model for model in PARENTS if model in selected]
+    with ThreadPoolExecutor(threads) as pool:
+        running: dict[Future, str] = {}
+        while waiting or running:
+            for model in list(waiting):
+                if any(p in report.failed or p in report.skipped for p in PARENTS[model]):
+                    report.skipped.append(model)
+                    waiting.remove(model)
+                elif all(p in ready for p in PARENTS[model]) and len(running) < threads:
+                    running[pool.submit(write_model, model, getattr(m, model), lake)] = model
+                    waiting.remove(model)
+            for done in wait(running, return_when=FIRST_COMPLETED).done:
+                model = running.pop(done)
+                m.store(model, done.result())
+                report.built.append(model)
+                ready.add(model)
+            run_ready_checks()
+    report.built.sort(key=list(PARENTS).index)
     return report
+
+
+def finished(raw: Mapping[str, DataFrame], lake: Lake, params: Params | None = None) -> Models:
+    """The models of a finished build, read from where it wrote them with the
+    types they were made with: analyses of them rebuild nothing."""
+    lazy = Models(raw, params)
+    stored = {}
+    for model in PARENTS:
+        if layer_of(model) != "staging":
+            made = getattr(lazy, model)
+            read = lazy.spark.read.schema(_nullable(made.schema)).parquet(lake.path(layer_of(model), model))
+            stored[model] = read.select(*made.columns)
+    return Models(raw, params, stored)
+
+
+def _nullable(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, f.dataType, nullable=True) for f in schema.fields])

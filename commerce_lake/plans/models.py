@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from commerce_lake.functions import labels
 from commerce_lake.params import Params
@@ -108,9 +109,18 @@ class Models:
             self.params,
         )
 
+    @cached_property
+    def _zip_points(self) -> DataFrame:
+        """Points of known zips. Stating that they are known before the medians
+        keeps both passes of the medians alike, so they share scan and shuffle."""
+        if "int_geolocation_deduped" in self.stored:
+            return self.int_geolocation_deduped
+        known = self.stg_geolocation.where(F.col("geolocation_zip_code_prefix").isNotNull())
+        return intermediate.int_geolocation_deduped(known, self.params)
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.int_customer_order_history, self.int_geolocation_deduped)
+        return marts.dim_customer(self.int_customer_order_history, self._zip_points)
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -123,7 +133,7 @@ class Models:
 
     @cached_property
     def dim_seller(self) -> DataFrame:
-        return marts.dim_seller(self.stg_sellers, self.int_geolocation_deduped)
+        return marts.dim_seller(self.stg_sellers, self._zip_points)
 
     @cached_property
     def fct_order_items(self) -> DataFrame:

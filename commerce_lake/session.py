@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+def tune(spark: SparkSession) -> SparkSession:
     """Apply runtime settings to a session the caller owns.
 
-    On a cluster, shuffles start from enough partitions for the stated volume
-    and adaptive execution merges those that turn out small.
+    How many partitions a shuffle starts from is the session's to say, in
+    `spark.sql.shuffle.partitions`: about its volume over 256 MB. Adaptive
+    execution merges those that turn out small.
     """
     cores = spark.sparkContext.defaultParallelism
     settings = {
@@ -21,11 +19,6 @@ def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession
         # Listing a table of many days takes a few tasks per core, not one per day.
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(max(32, 4 * cores)),
     }
-    if not spark.sparkContext.master.startswith("local"):
-        by_volume = (shuffled_bytes or 0) // TARGET_PARTITION_BYTES
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(configured, 3 * cores, by_volume)
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from commerce_lake.sources.schema import RAW_TABLES, RawTable
 
@@ -32,7 +37,9 @@ def location(prefix: str, table: RawTable) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 
@@ -42,8 +49,10 @@ def missing_files(spark: SparkSession, prefix: str, tables: Mapping[str, RawTabl
 
 
 def header_of(spark: SparkSession, prefix: str, table: RawTable) -> list[str]:
-    """Column names as written in the file; reads its first line only."""
-    return spark.read.options(**_options(table)).csv(location(prefix, table)).columns
+    """Column names as written in the part that is first by name; reads its first line only."""
+    parts = spark.read.format("binaryFile").load(location(prefix, table))
+    first = parts.agg(F.min("path")).first()[0]  # of a listing: no content is read
+    return spark.read.options(**_options(table)).csv(first).columns if first else []
 
 
 def check_header(spark: SparkSession, prefix: str, table: RawTable) -> None:
@@ -58,25 +67,61 @@ def check_header(spark: SparkSession, prefix: str, table: RawTable) -> None:
         raise ContractError(f"{table.file}: columns are not in the declared order")
 
 
+def _strict(spark: SparkSession, prefix: str, table: RawTable, schema: StructType) -> DataFrame:
+    """Every part has exactly these columns in this order, every row as many
+    cells, every value its type; the first offence fails the read. A condition
+    on all columns, which always holds, has them read whichever are used later."""
+    rows = (
+        spark.read.schema(schema)
+        .options(**_options(table))
+        .options(enforceSchema="false", mode="FAILFAST", columnPruning="false")
+        .csv(location(prefix, table))
+    )
+    return rows.where(F.hash(*schema.names) >= F.lit(-(2**31)))
+
+
 def scan(spark: SparkSession, prefix: str, table: RawTable) -> DataFrame:
     """Read a raw file, or folder of part files, with its declared types.
 
-    Every part's header is compared with the declaration and a value of the
-    wrong type fails the read; blank values are nulls of the declared type.
+    One part's header is compared with the declaration at once, that of every
+    other part by the task that reads it. A row with more or fewer cells, or a
+    value of the wrong type in any column, fails the read; blank values are
+    nulls of the declared type.
     """
     check_header(spark, prefix, table)
-    return (
-        spark.read.schema(table.schema)
-        .options(**_options(table))
-        .option("enforceSchema", "false")
-        .option("mode", "FAILFAST")
-        .csv(location(prefix, table))
-    )
+    return _strict(spark, prefix, table, table.schema)
 
 
 def scan_as_text(spark: SparkSession, prefix: str, table: RawTable) -> DataFrame:
-    """Read whatever columns the file has, untyped, for the landing snapshot."""
-    return spark.read.options(**_options(table)).csv(location(prefix, table))
+    """Read whatever columns the files have, untyped, for the landing snapshot.
+
+    All parts must have the same columns, or cells would land under wrong names.
+    """
+    found = StructType([StructField(c, StringType()) for c in header_of(spark, prefix, table)])
+    return _strict(spark, prefix, table, found)
+
+
+_HEADER = re.compile(r"Expected: (\S+) but found: (\S+)\s+CSV file: (\S+)")
+_HEADER_LENGTH = re.compile(r"Header length: (\d+), schema size: (\d+)\s+CSV file: (\S+)")
+
+
+@contextmanager
+def refusing(table: RawTable) -> Iterator[None]:
+    """Turn a failed strict read into a ContractError that names file and column."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        text = str(error)
+        if named := _HEADER.search(text):
+            detail = f"expects column {named[1]}, found {named[2]} in {named[3]}"
+        elif sized := _HEADER_LENGTH.search(text):
+            detail = f"expects {sized[2]} columns, found {sized[1]} in {sized[3]}"
+        elif "MALFORMED_RECORD" in text or "MALFORMED_CSV_RECORD" in text:
+            parsed = re.search(r"[Mm]alformed [^\n]*", text)
+            detail = parsed[0] if parsed else "malformed record"
+        else:
+            raise
+        raise ContractError(f"{table.file}: {detail}") from error
 
 
 def scan_all(

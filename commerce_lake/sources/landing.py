@@ -9,7 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.sources.contract import location, missing_files, scan_all, scan_as_text
+from commerce_lake.operators.checks import freshness
+from commerce_lake.sources.contract import location, missing_files, refusing, scan_all, scan_as_text
 from commerce_lake.sources.schema import RAW_TABLES, RawTable
 
 
@@ -27,23 +28,25 @@ def land(
 ) -> str:
     """Copy the expected files under a dated prefix and log the landing.
 
-    Cells are copied as text with whatever columns the files have; the contract
-    is applied when the snapshot is loaded. Repeating a date replaces it.
+    Cells are copied as text with whatever columns the files have, as long as
+    all parts of a table have the same; the contract is applied when the
+    snapshot is loaded. Free text, which one task per file must read, lands in
+    parts of even size, so the load reads it with many. Repeating a date
+    replaces it.
     """
     absent = missing_files(spark, incoming, tables)
     if absent:
         raise FileNotFoundError(f"{incoming} lacks: {', '.join(absent)}")
     prefix = prefix_of(zone, ingest_date)
     for table in tables.values():
-        (
-            scan_as_text(spark, incoming, table)
-            .write.mode("overwrite")
-            .options(
+        cells = scan_as_text(spark, incoming, table)
+        if table.free_text:
+            cells = cells.hint("rebalance")
+        with refusing(table):
+            cells.write.mode("overwrite").options(
                 header="true", quoteAll="true", escape='"',
                 ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
-            )
-            .csv(location(prefix, table))
-        )
+            ).csv(location(prefix, table))
     entry = [(ingest_date, landed_at, len(tables))]
     log = spark.createDataFrame(entry, "ingest_date date, landed_at timestamp, files int")
     log.write.mode("append").parquet(f"{zone.rstrip('/')}/_landings")
@@ -70,26 +73,52 @@ def load(
 ) -> dict[str, DataFrame]:
     """Replace the raw tables by a snapshot, every row marked with its load.
 
-    All headers are checked before the first table is replaced. The load is
-    logged only when every table is in place.
+    Each load has a folder of its own and is logged when every table is in
+    place; readers follow the log. A load that fails leaves the one before it
+    as it was.
     """
     scanned = scan_all(spark, prefix, tables)
+    number = 1 + max((r.number for r in _logged(spark, target)), default=0)
+    folder = f"{target.rstrip('/')}/load-{number:06d}"
     for name, df in scanned.items():
         marked = df.withColumns(
             {"load_id": F.lit(load_id), "loaded_at": F.lit(loaded_at).cast("timestamp")}
         )
-        marked.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{name}")
-    entry = [(load_id, prefix, loaded_at, len(scanned))]
-    log = spark.createDataFrame(entry, "load_id string, prefix string, loaded_at timestamp, tables int")
+        with refusing(tables[name]):
+            marked.write.mode("overwrite").parquet(f"{folder}/{name}")
+    entry = [(number, load_id, prefix, folder, loaded_at, len(scanned))]
+    log = spark.createDataFrame(
+        entry, "number int, load_id string, prefix string, folder string, loaded_at timestamp, tables int"
+    )
     log.write.mode("append").parquet(f"{target.rstrip('/')}/_loads")
     return read_raw(spark, target, tables)
 
 
+def _logged(spark: SparkSession, target: str) -> list:
+    """Log entries, one per load."""
+    try:
+        return loads(spark, target).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def read_raw(
     spark: SparkSession, target: str, tables: Mapping[str, RawTable] = RAW_TABLES
 ) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{target.rstrip('/')}/{name}") for name in tables}
+    """The raw tables of the last finished load."""
+    log = _logged(spark, target)
+    if not log:
+        raise LookupError(f"nothing has been loaded into {target}")
+    folder = max(log, key=lambda r: r.number).folder
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
 
 
 def loads(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target.rstrip('/')}/_loads")
+
+
+def load_freshness(spark: SparkSession, target: str, now: datetime) -> DataFrame:
+    """Age and status of the last load."""
+    return freshness(loads(spark, target), "loaded_at", now)

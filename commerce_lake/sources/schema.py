@@ -1,7 +1,7 @@
 """Declared schemas of the raw tables: fixed, never inferred.
 
-A declaration lists each table's file and its columns in file order with one
-of four types. All raw columns are nullable; required values are checked later.
+A declaration lists each table's file and its columns, as pairs or a mapping in
+file order, with one of four types. All raw columns are nullable; required values are checked later.
 """
 
 from __future__ import annotations
@@ -52,13 +52,16 @@ def declare(entries: Sequence[Mapping]) -> dict[str, RawTable]:
         name = entry["table"]
         if name in tables:
             raise DeclarationError(f"table `{name}` is declared twice")
-        for column, kind in entry["columns"].items():
+        columns = list(entry["columns"].items() if isinstance(entry["columns"], Mapping) else entry["columns"])
+        for column, kind in columns:
+            if [c for c, _ in columns].count(column) > 1:
+                raise DeclarationError(f"`{name}.{column}` is declared twice")
             if kind not in TYPES:
                 raise DeclarationError(
                     f"`{name}.{column}` has unknown type {kind!r}; known: {', '.join(sorted(TYPES))}"
                 )
         tables[name] = RawTable(
-            name, entry["file"], tuple(entry["columns"].items()), bool(entry.get("free_text", False))
+            name, entry["file"], tuple(columns), bool(entry.get("free_text", False))
         )
     return tables
 
@@ -74,87 +77,115 @@ def with_file_prefix(tables: Mapping[str, RawTable], prefix: str) -> dict[str, R
     }
 
 
-def _columns(spec: str) -> dict[str, str]:
-    """`"text: a b | bigint: c"` in file order; a type may appear repeatedly."""
-    columns: dict[str, str] = {}
-    for part in spec.split("|"):
-        kind, names = part.split(":")
-        for name in names.split():
-            columns[name] = kind.strip()
-    return columns
-
-
 # The nine raw files and their 52 columns in file order.
 RAW_TABLES = declare(
     [
         {
             "table": "customers",
             "file": "customers_dataset.csv",
-            "columns": _columns(
-                "text: customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"
-            ),
+            "columns": [
+                ("customer_id", "text"),
+                ("customer_unique_id", "text"),
+                ("customer_zip_code_prefix", "text"),
+                ("customer_city", "text"),
+                ("customer_state", "text"),
+            ],
         },
         {
             "table": "orders",
             "file": "orders_dataset.csv",
-            "columns": _columns(
-                "text: order_id customer_id order_status"
-                " | timestamp: order_purchase_timestamp order_approved_at order_delivered_carrier_date"
-                " order_delivered_customer_date order_estimated_delivery_date"
-            ),
+            "columns": [
+                ("order_id", "text"),
+                ("customer_id", "text"),
+                ("order_status", "text"),
+                ("order_purchase_timestamp", "timestamp"),
+                ("order_approved_at", "timestamp"),
+                ("order_delivered_carrier_date", "timestamp"),
+                ("order_delivered_customer_date", "timestamp"),
+                ("order_estimated_delivery_date", "timestamp"),
+            ],
         },
         {
             "table": "order_items",
             "file": "order_items_dataset.csv",
-            "columns": _columns(
-                "text: order_id | bigint: order_item_id | text: product_id seller_id"
-                " | timestamp: shipping_limit_date | double: price freight_value"
-            ),
+            "columns": [
+                ("order_id", "text"),
+                ("order_item_id", "bigint"),
+                ("product_id", "text"),
+                ("seller_id", "text"),
+                ("shipping_limit_date", "timestamp"),
+                ("price", "double"),
+                ("freight_value", "double"),
+            ],
         },
         {
             "table": "order_payments",
             "file": "order_payments_dataset.csv",
-            "columns": _columns(
-                "text: order_id | bigint: payment_sequential | text: payment_type"
-                " | bigint: payment_installments | double: payment_value"
-            ),
+            "columns": [
+                ("order_id", "text"),
+                ("payment_sequential", "bigint"),
+                ("payment_type", "text"),
+                ("payment_installments", "bigint"),
+                ("payment_value", "double"),
+            ],
         },
         {
             "table": "order_reviews",
             "file": "order_reviews_dataset.csv",
-            "columns": _columns(
-                "text: review_id order_id | bigint: review_score"
-                " | text: review_comment_title review_comment_message"
-                " | timestamp: review_creation_date review_answer_timestamp"
-            ),
+            "columns": [
+                ("review_id", "text"),
+                ("order_id", "text"),
+                ("review_score", "bigint"),
+                ("review_comment_title", "text"),
+                ("review_comment_message", "text"),
+                ("review_creation_date", "timestamp"),
+                ("review_answer_timestamp", "timestamp"),
+            ],
             "free_text": True,
         },
         {
             "table": "products",
             "file": "products_dataset.csv",
-            "columns": _columns(
-                "text: product_id product_category_name"
-                " | bigint: product_name_lenght product_description_lenght product_photos_qty"
-                " product_weight_g product_length_cm product_height_cm product_width_cm"
-            ),
+            "columns": [
+                ("product_id", "text"),
+                ("product_category_name", "text"),
+                ("product_name_lenght", "bigint"),
+                ("product_description_lenght", "bigint"),
+                ("product_photos_qty", "bigint"),
+                ("product_weight_g", "bigint"),
+                ("product_length_cm", "bigint"),
+                ("product_height_cm", "bigint"),
+                ("product_width_cm", "bigint"),
+            ],
         },
         {
             "table": "sellers",
             "file": "sellers_dataset.csv",
-            "columns": _columns("text: seller_id seller_zip_code_prefix seller_city seller_state"),
+            "columns": [
+                ("seller_id", "text"),
+                ("seller_zip_code_prefix", "text"),
+                ("seller_city", "text"),
+                ("seller_state", "text"),
+            ],
         },
         {
             "table": "geolocation",
             "file": "geolocation_dataset.csv",
-            "columns": _columns(
-                "text: geolocation_zip_code_prefix | double: geolocation_lat geolocation_lng"
-                " | text: geolocation_city geolocation_state"
-            ),
+            "columns": [
+                ("geolocation_zip_code_prefix", "text"),
+                ("geolocation_lat", "double"),
+                ("geolocation_lng", "double"),
+                ("geolocation_city", "text"),
+                ("geolocation_state", "text"),
+            ],
         },
         {
             "table": "product_category_translation",
             "file": "product_category_name_translation.csv",
-            "columns": _columns("text: product_category_name product_category_name_english"),
+            "columns": [
+                ("product_category_name", "text"),
+                ("product_category_name_english", "text"),
+            ],
         },
     ]
 )

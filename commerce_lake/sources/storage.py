@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -24,15 +25,16 @@ class Lake:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in
+    `spark.checkpoint.dir`.
 
-    A local session that names none gets a temporary folder; a cluster must
-    name one.
+    Only a session of one process (`local[...]`), where it is the same disk for
+    all, may leave it unset and gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise LookupError("spark.checkpoint.dir must name a folder shared by the cluster")
     return _local_folder()
 
@@ -99,7 +101,7 @@ def publish(df: DataFrame, path: str, allow_replace: bool = False) -> bool:
     return allow_replace
 
 
-def to_client(df: DataFrame, max_rows: int = 10_000):
+def to_client(df: DataFrame, max_rows: int):
     """Bring a small result to the client; a larger one is an error."""
     rows = df.limit(max_rows + 1).toPandas()
     if len(rows) > max_rows:

@@ -76,8 +76,8 @@ def test_city_queries_agree_with_each_other(models):
     assert concentration.top_1_pct == round(cities[0].pct_revenue, 1)
     tiers = rows_by(analytics.city_tiers(models), "tier")
     # All four cities lead and all are in the tail: the tiers overlap.
-    assert tiers[labels.TIER_TOP].n_cities == 4 and tiers[labels.TIER_TAIL].n_cities == 4
-    assert tiers[labels.TIER_MID].n_cities == 0 and tiers[labels.TIER_MID].revenue_pct == 0.0
+    assert tiers[labels.tier_top(models.params)].n_cities == 4 and tiers[labels.tier_tail(models.params)].n_cities == 4
+    assert tiers[labels.tier_mid(models.params)].n_cities == 0 and tiers[labels.tier_mid(models.params)].revenue_pct == 0.0
 
 
 def test_city_leaders_need_coordinates(models):

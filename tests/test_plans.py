@@ -28,7 +28,8 @@ def bound(spark):
 def test_ranks_are_limited_before_the_shuffle(bound, build):
     plan = plan_of(build(bound))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
-    assert plan.count("WindowGroupLimit") % 2 == 0
+    # A rank over rows that a join left in place needs no shuffle and no partial limit.
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 def test_unused_totals_are_not_computed(bound):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from commerce_lake.operators.checks import Check, blocking, duplicate_keys, evaluate, freshness, orphans
 from commerce_lake.plans import analytics
-from commerce_lake.plans.build import PARENTS, build, with_ancestors
+from commerce_lake.plans.build import PARENTS, build, finished, with_ancestors
 from commerce_lake.plans.models import Models
 from commerce_lake.plans.quality import ModelTables, declared_checks, run_checks
 from commerce_lake.params import Params
@@ -101,7 +101,7 @@ def test_parents_come_before_children():
     for model, parents in PARENTS.items():
         assert set(parents) <= seen, model
         seen.add(model)
-    assert len(PARENTS) == 21
+    assert len(PARENTS) == 27
     assert with_ancestors(["fct_payments"]) == {"fct_payments", "stg_order_payments"}
 
 
@@ -109,13 +109,17 @@ def test_full_build_writes_marts_and_keeps_warnings_visible(spark, raw, params,
     lake = Lake(str(tmp_path), "ci")
     report = build(raw, lake, params)
     assert report.built == list(PARENTS) and not report.failed and not report.skipped
-    assert len(report.results) == 79
+    assert len(report.results) == 81
     assert {w["model"] for w in report.warnings} == {"int_order_lifecycle", "fct_payments"}
     for name in ("fct_orders", "fct_order_items", "fct_reviews", "fct_payments", "dim_customer", "dim_seller"):
         lazy = getattr(models, name)
         stored = spark.read.schema(lazy.schema).parquet(lake.path("marts", name)).select(*lazy.columns)
         assert sorted(map(str, stored.collect())) == sorted(map(str, lazy.collect())), name
     assert (tmp_path / "ci/marts/fct_orders/order_purchase_date=2017-01-01").is_dir()
+    opened = finished(raw, lake, params)
+    assert opened.stored == {name for name in PARENTS if not name.startswith("stg_")}
+    for analysis in (analytics.headline_metrics, analytics.top_cities, analytics.repeat_rate_by_first_category, analytics.city_tiers):
+        assert sorted(map(str, analysis(opened).collect())) == sorted(map(str, analysis(models).collect()))
     assert spark.table("stg_sellers").count() == 2
 
 

@@ -83,8 +83,44 @@ def test_missing_and_reordered_columns_are_named(spark, raw, tmp_path):
 def test_value_of_the_wrong_type_fails_the_load(spark, raw, tmp_path):
     spoiled = raw["order_items"].withColumn("price", F.lit("fifty-eight"))
     _offer(spoiled, tmp_path, "order_items")
+    # The spoiled column is not asked for, and checked all the same.
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        scan(spark, str(tmp_path), RAW_TABLES["order_items"]).collect()
+        scan(spark, str(tmp_path), RAW_TABLES["order_items"]).select("order_id").collect()
+
+
+@pytest.mark.parametrize("later, said", [
+    ("seller_id,seller_zip_code_prefix,seller_city,seller_state,loyalty_tier\na,1,b,SP,x\n", "expects 4 columns, found 5"),
+    ("seller_id,seller_zip_code_prefix,seller_city,loyalty_tier\na,1,b,SP\n", "expects column seller_state, found loyalty_tier"),
+    ("seller_id,seller_city,seller_zip_code_prefix,seller_state\na,b,1,SP\n", "expects column seller_zip_code_prefix, found seller_city"),
+    ("seller_id,seller_zip_code_prefix,seller_city,seller_state\na,1,b,SP,EXTRA\n", "alformed"),
+])
+def test_a_later_part_that_differs_is_not_landed(spark, raw, tmp_path, later, said):
+    only = {"sellers": RAW_TABLES["sellers"]}
+    _offer(raw["sellers"], tmp_path, "sellers")
+    (tmp_path / RAW_TABLES["sellers"].file / "part-99999.csv").write_text(later)
+    with pytest.raises(ContractError, match=said) as error:
+        landing.land(spark, str(tmp_path), str(tmp_path / "zone"), date(2024, 5, 1), NOW, only)
+    assert "sellers_dataset.csv" in str(error.value)
+
+
+def test_refused_load_leaves_the_last_one(spark, raw, tmp_path):
+    only = {"order_items": RAW_TABLES["order_items"]}
+    _offer(raw["order_items"], tmp_path / "good", "order_items")
+    _offer(raw["order_items"].withColumn("price", F.lit("fifty-eight")), tmp_path / "bad", "order_items")
+    target = str(tmp_path / "raw")
+    landing.load(spark, str(tmp_path / "good"), target, "a", NOW, only)
+    with pytest.raises(ContractError, match="order_items_dataset.csv"):
+        landing.load(spark, str(tmp_path / "bad"), target, "b", NOW, only)
+    kept = landing.read_raw(spark, target, only)["order_items"]
+    assert kept.count() == raw["order_items"].count()
+    assert {r.load_id for r in kept.select("load_id").distinct().collect()} == {"a"}
+    row = landing.load_freshness(spark, target, NOW.replace(day=4)).first()
+    assert (row.age_hours, row.status) == (72.0, "warn")
+
+
+def test_a_column_listed_twice_is_refused():
+    with pytest.raises(DeclarationError, match="t.a"):
+        declare([_entry(columns=[("a", "text"), ("a", "bigint")])])
 
 
 def test_part_with_another_header_fails(spark, raw, tmp_path):
