@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SF = "/root/testdata/sf0.001"
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 

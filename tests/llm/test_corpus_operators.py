@@ -12,7 +12,7 @@ from pathlib import Path
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from tables import SF, documents, sf_dir  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline

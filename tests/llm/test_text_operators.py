@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from tables import SF, documents, sf_dir  # noqa: F401
 
 from commerce_lake.llm import packing, pii, quality, queries, secret_scan, shards
 
