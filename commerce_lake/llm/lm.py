@@ -52,8 +52,8 @@ class Plan:
     folds: int = 7
     test: int = 2  # the fold that the model never learns from
     held: int = 5  # the fold that weights are learned on
-    block_tokens: int = 2_000_000
-    bucket_entries: int = 1_000_000
+    block_tokens: int = 1_000_000
+    bucket_entries: int = 500_000
     rounds: int = 30
     settled: float = 1e-5
 
