@@ -46,7 +46,8 @@ def with_text_columns(
 
     `make` runs once per task and returns a function from a batch of texts to
     the lists of values of the added columns. All other columns pass through
-    as Arrow data. Nothing is shuffled; a lost task repeats only its split.
+    as Arrow data, but columns of the added names are replaced. Nothing is
+    shuffled; a lost task repeats only its split.
     """
     new = StructType.fromDDL(added)
     kept = df.drop(*new.names, *[text] * drop_text)
