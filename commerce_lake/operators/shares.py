@@ -25,8 +25,13 @@ def share_of_groups(name: str, digits: int) -> Column:
 
 
 def grand_total(df: DataFrame, name: str) -> Column:
-    """Grand total as a scalar subquery: groups stay where they are."""
-    return df.agg(F.sum(name)).scalar()
+    """Grand total as a scalar subquery: groups stay where they are.
+
+    The other columns are folded as well: nothing is pruned below, so the
+    subquery needs the same groups as its surroundings and Spark reuses them.
+    """
+    rest = [F.max(c) for c in df.columns if c != name]
+    return df.agg(F.struct(F.sum(name).alias("total"), *rest).alias("folded")).scalar()["total"]
 
 
 def running_share(name: str, order: Sequence[Column]) -> Column:

@@ -528,7 +528,7 @@ def _cities(m: Models) -> DataFrame:
 
 def top_cities(m: Models) -> DataFrame:
     """Leading cities with their running share of all revenue."""
-    cities = _cities(m)
+    cities = _cities(m).select("city", "orders", "customers", "exact")
     shown = cities.select(
         "city", "orders", "customers", rounded("exact").alias("revenue"),
         percent(F.col("exact"), grand_total(cities, "exact"), 2).alias("pct_revenue"),

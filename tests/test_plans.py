@@ -4,7 +4,9 @@ import re
 
 import pytest
 
+from commerce_lake.catalog import all_queries
 from commerce_lake.catalog.common import models as bound_models
+from commerce_lake.functions.text import WHITE_SPACE
 from commerce_lake.plans import analytics
 from commerce_lake.plans.models import Models
 
@@ -60,3 +62,60 @@ def test_cities_are_aggregated_once(bound):
         df = query(bound)
         df.collect()
         assert "ReusedExchange" in plan_of(df), query.__name__
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def scans_of(plan: str, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*/{table}\.parquet", plan))
+
+
+def final_plan(df) -> str:
+    """What adaptive execution ran, without the plans it started from."""
+    df.collect()
+    lines, initial = [], None
+    for line in plan_of(df).replace(WHITE_SPACE, "").split("\n"):  # a plan's node is one line
+        depth = len(line) - len(line.lstrip(" :"))
+        if initial is not None and depth > initial:
+            continue
+        initial = depth if "== Initial Plan ==" in line else None
+        lines.append(line)
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("name", ["A0.1_headline_metrics", "G10_count_distinct"])
+def test_distinct_counts_copy_no_rows(no_broadcasts, name):
+    assert "Expand" not in final_plan(all_queries()[name](no_broadcasts, SF))
+
+
+@pytest.mark.parametrize("name", ["M10_int_geolocation_deduped", "M14_dim_customer", "M17_dim_seller", "A4.1_cities_with_top_customer"])
+def test_coordinates_are_read_once(no_broadcasts, name):
+    plan = final_plan(all_queries()[name](no_broadcasts, SF))
+    assert scans_of(plan, "customer") == 1 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["M26_mart_revenue_by_location", "M27_mart_seller_by_location"])
+def test_location_marts_count_rows(no_broadcasts, name):
+    assert "distinct" not in final_plan(all_queries()[name](no_broadcasts, SF))
+
+
+def test_top_cities_are_summed_once(no_broadcasts):
+    plan = final_plan(all_queries()["A3.2_top_cities"](no_broadcasts, SF))
+    # Orders are read as orders, as customers and for their sums, each once.
+    assert scans_of(plan, "orders") <= 4
+    total = plan[plan.index("Subquery"):]
+    assert "Join" not in total[: total.index("ReusedExchange")]
+
+
+def test_yearly_sums_precede_the_product_join(no_broadcasts):
+    plan = final_plan(all_queries()["A4.3_yearly_gmv"](no_broadcasts, SF))
+    assert [scans_of(plan, t) for t in ("part", "lineitem", "orders")] == [1, 1, 1]
+    products = plan.index("/part.parquet")
+    join = plan.rindex("SortMergeJoin", 0, products)
+    assert "HashAggregate" in plan[join:products], "lines are summed below the join with products"
