@@ -165,7 +165,8 @@ def fences(counts: DataFrame, lang: str = "lang", source: str = "source", policy
 
 
 def judge(counts: DataFrame, fenced: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Rows of `measured` with base_failed and kept."""
+    """Rows of `measured` with base_failed and kept, which replace columns of these names."""
+    counts = counts.drop("base_failed", "kept")
     # Fences take names that clash with no column of the rows.
     names = {c: unused(counts, f"_fence_{c}") for c in fenced.columns}
     joined = counts.join(

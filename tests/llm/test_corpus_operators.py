@@ -376,7 +376,9 @@ def test_pipeline_run(spark, stages):
 
 
 def test_pipeline_of_nothing_and_extra_columns(spark, sf_dir, documents):
-    docs = documents(["x"]).withColumn("n_words", F.lit("keep")).withColumn("kept", F.lit("keep"))
+    docs = documents(["x"])
+    for name in ("n_words", "kept", "copy", "leak", "_gone", "row", "hash", "w", "bits"):
+        docs = docs.withColumn(name, F.lit("keep"))
     folder = sf_dir(documents=docs.limit(0), benchmark=spark.createDataFrame([], "item_id long, text string"))
     for source in (docs.limit(0), docs):
         rows = source
@@ -386,6 +388,15 @@ def test_pipeline_of_nothing_and_extra_columns(spark, sf_dir, documents):
             rows.collect()
 
 
+def test_decontamination_judges_rows_of_one_id_each(spark, sf_dir):
+    leak = " ".join(WORDS[:10])
+    rows = [(1, f"a {leak}"), (1, "clean"), (None, f"{leak} b"), (None, "clean"), (None, None), (2, f"x {leak}"), (2, f"x {leak}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = sf_dir(benchmark=spark.createDataFrame([(1, leak)], "item_id long, text string"))
+    kept = corpus_pipeline.benchmark_decontamination(spark, docs, folder).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, "clean"), (None, "clean"), (None, None)])
+
+
 def test_whole_queries(spark):
     for name, query in queries.QUERIES.items():
         assert query(spark, SF).count() > 0, name
