@@ -8,7 +8,7 @@ texts; columns beyond those it reads pass through unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commerce_lake.llm import decontam, neardup, packing, quality, secret_scan
@@ -18,6 +18,13 @@ from commerce_lake.llm.queries import tokenizer_path
 SECRET_MARK = "[secret]"
 
 
+def _without(docs: DataFrame, key: Column, dropped: DataFrame, name: str) -> DataFrame:
+    """Documents but those whose key is in the one column of `dropped`."""
+    gone = unused(docs, "_gone")
+    keys = written(dropped.toDF(gone).distinct(), name)
+    return docs.join(keys, key == F.col(gone), "left_anti")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that fail the base rules or lie beyond the fences of
     their language and source. Texts are measured twice, for the sketches and
@@ -31,16 +38,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the document of the smallest doc_id of each group of copies and
     near-copies (five-word shingles, similarity of 0.8 or more)."""
     found = neardup.link(docs.select("doc_id", "text"))
-    copies = written(found.filter("NOT kept").select(F.col("doc_id").alias("copy")).distinct(), "copies")
-    return docs.join(copies, F.col("doc_id") == F.col("copy"), "left_anti")
+    return _without(docs, F.col("doc_id"), found.filter("NOT kept").select("doc_id"), "copies")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
+    """Drop documents that hold a window of a benchmark item. Rows are told
+    apart by id and text, so that rows of one id, or of none, are judged each."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontam.find(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
-    leaked = written(found.filter("n_hit > 0").select(F.col("doc_id").alias("leak")).distinct(), "leaked")
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leak")), "left_anti")
+    row = F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash"))
+    found = decontam.find(docs.select(row.alias("row"), "text"), benchmark.select("item_id", "text"), key="row")
+    return _without(docs, row, found.filter("n_hit > 0").select("row"), "leaked")
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
