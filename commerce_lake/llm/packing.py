@@ -13,12 +13,14 @@ badly filled bin. Items of equal demand are interchangeable, so a batch is a
 histogram of demands and a step looks at distinct demands only.
 
 Defined results: null and empty texts consist of the end id alone; repeated
-rows are packed each; a batch without rows gives none.
+rows are packed each; a batch without rows gives none; the string of an added
+token of the vocabulary file is that token.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -53,24 +55,37 @@ class Encoder:
     """Token ids by a byte-level BPE file of the tokenizers library.
 
     Merges are run by tiktoken, several times as fast, whose ranks are the ids
-    of that file. Strings of special tokens are plain text.
+    of that file. With `added`, the file's added tokens are matched inside texts
+    as the library does by default; without, their strings are plain text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model, tokens = whole["model"], whole.get("added_tokens", []) if added else []
+        if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that take more or less than their own string")
+        self.added = {t["content"]: t["id"] for t in tokens}
+        # Longest first: of those that begin at one place the library takes the longest.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         letters, vocab = _byte_letters(), model["vocab"]
         merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         if merged != sorted(merged):
             raise ValueError(f"{path}: ids do not follow the order of merges")
         usable = {*merged, *(vocab[c] for c in letters)}
         ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if i in usable}
-        self.encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
 
     def ids(self, text: str) -> np.ndarray:
-        parts = [self.encoding.encode_ordinary(stretch) for stretch in _stretches(text)]
+        parts = []
+        for k, piece in enumerate(self.splits.split(text) if self.splits else [text]):
+            if k % 2:  # an added token, which no pre-token reaches over
+                parts.append([self.added[piece]])
+            else:
+                parts.extend(self.encoding.encode_ordinary(stretch) for stretch in _stretches(piece))
         return np.concatenate([np.array(part, "<u4") for part in parts])
 
     def text(self, ids: np.ndarray) -> str:
@@ -141,7 +156,7 @@ def place(
     names, types = kept.columns, to_arrow_schema(new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, added=True)
         sequence = TaskContext.get().partitionId() << 33
         for batch in batches:
             rows, starts, pieces, totals, bearing = [], [], [], [], []

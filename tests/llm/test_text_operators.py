@@ -191,6 +191,46 @@ def test_encoder_matches_the_library():
         assert encoder.text(ids) == text
 
 
+def test_added_tokens_are_matched_as_the_library_does(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    library, encoder = Tokenizer.from_file(path), packing.Encoder(path, added=True)
+    end, draw = "<|endoftext|>", random.Random(7)
+    assert encoder.ids(f"a {end} b").tolist() == [64, 220, 50256, 275]
+    parts = [end, end, "a b", " ", "  ", "\n", "<|", "|>", "endoftext", "it's", "é", "🙂", "x1 "]
+    texts = ["", end, f"{end}{end}", f"  {end}  y", *["".join(draw.choices(parts, k=draw.randint(1, 30))) for _ in range(500)]]
+    for stretch in (packing.STRETCH, 3):
+        monkeypatch.setattr(packing, "STRETCH", stretch)
+        for text in [*texts, *[t or "" for t in TEXTS[:300]]]:
+            ids = encoder.ids(text)
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+            assert encoder.text(ids) == text
+
+
+def test_added_tokens_take_their_whole_string_only(tmp_path):
+    import json
+
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        whole = json.load(file)
+    whole["added_tokens"][0]["lstrip"] = True
+    (tmp_path / "t.json").write_text(json.dumps(whole), encoding="utf-8")
+    with pytest.raises(ValueError, match="added tokens"):
+        packing.Encoder(str(tmp_path / "t.json"), added=True)
+
+
+def test_packed_ids_are_the_librarys(spark, sf_dir, documents):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 3, "plain words", None]
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    expected = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    for r in queries.op10_vector_packing(spark, sf_dir(documents=documents(texts, extra=False))).collect():
+        ids = expected[r["doc_id"]]
+        assert (r["start"], r["length"], r["doc_tokens"]) == (0, len(ids), len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def test_long_texts_are_cut_where_tokens_end(monkeypatch):
     text = " ".join(rng.choices(["don't", "ab", "  ", "\n", "x1", "é", "longer", "."], k=3000))
     encoder = packing.Encoder(queries.tokenizer_path())
