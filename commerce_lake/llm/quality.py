@@ -9,9 +9,11 @@ of their group.
 
 A fence is quantile(3/4) + reach * max(quantile(3/4) - quantile(1/2), slack):
 it moves with what is usual in a group, and a group whose documents are all
-alike does not reject the small differences among them. Sketches of sources
-with fewer than `least` documents are merged with all of their language, and
-those of small languages with everything.
+alike does not reject the small differences among them. One rule holds for
+sources of every size: to a source's sketch its language's is added as `prior`
+documents at evenly spaced ranks, and before that everything's to each
+language's. So a source of a few documents is judged by its language, and the
+more it has, the more by its own, without a size at which that switches.
 
 Sketches are ordinary partial sums: a source with a third of all rows arrives
 at a reducer as one row per bucket and map task.
@@ -62,7 +64,7 @@ METRICS = (
 @dataclass(frozen=True)
 class Policy:
     reach: float = 5.0
-    least: int = 200
+    prior: int = 20  # documents that the coarser group's sketch counts as
 
 
 def counts_of(text: str) -> tuple[int, int, int, int, int, int]:
@@ -129,27 +131,37 @@ def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def thinned(sketch: DataFrame, size: int, *keys: str) -> DataFrame:
+    """The sketch of each group with `size` documents: those at evenly spaced ranks."""
+    group = Window.partitionBy(*keys, "metric")
+    below = lambda rank: F.expr(f"(2 * {size} * ({rank}) + total) div (2 * total)")
+    ranked = sketch.withColumn("total", F.sum("n").over(group)).withColumn(
+        "upto", F.sum("n").over(group.orderBy(F.col("bucket").asc_nulls_first()))
+    )
+    return ranked.select(*keys, "metric", "bucket", (below("upto") - below("upto - n")).alias("n")).filter("n > 0")
+
+
+def with_prior(sketch: DataFrame, coarse: DataFrame, size: int, keys: tuple[str, ...], shared: tuple[str, ...]) -> DataFrame:
+    """`sketch` plus, for each of its groups, `size` documents of the group of
+    `coarse` that has the same `shared` keys."""
+    groups = sketch.select(*keys, "metric").distinct().alias("group")
+    same = F.col("group.metric") == F.col("prior.metric")
+    for key in shared:
+        same = same & F.col(f"group.{key}").eqNullSafe(F.col(f"prior.{key}"))
+    added = groups.join(thinned(coarse, size, *shared).alias("prior"), same).select("group.*", "prior.bucket", "prior.n")
+    return merged(sketch.unionByName(added), *keys)
+
+
 def limits(sketch: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """One row per language and source: fences of every metric."""
-    own = quantiles(sketch, "lang", "source")
-    by_lang = quantiles(merged(sketch, "lang"), "lang").withColumnsRenamed({c: f"lang_{c}" for c in ("n", "low", "middle", "high")})
-    everywhere = quantiles(merged(sketch)).withColumnsRenamed({c: f"all_{c}" for c in ("n", "low", "middle", "high")})
-    rows = (
-        own.alias("own").join(
-            by_lang.alias("by"), F.col("own.lang").eqNullSafe(F.col("by.lang")) & (F.col("own.metric") == F.col("by.metric"))
-        )
-        .select("own.*", *[f"by.lang_{c}" for c in ("n", "low", "middle", "high")])
-        .join(everywhere, "metric")
-    )
-    pick = lambda c: (
-        F.when(F.col("n") >= policy.least, F.col(c)).when(F.col("lang_n") >= policy.least, F.col(f"lang_{c}"))
-        .otherwise(F.col(f"all_{c}"))
-    )
+    by_lang = with_prior(merged(sketch, "lang"), merged(sketch), policy.prior, ("lang",), ())
+    own = with_prior(sketch, by_lang, policy.prior, ("lang", "source"), ("lang",))
+    rows = quantiles(own, "lang", "source")
     slack = F.create_map(*[F.lit(x) for m in METRICS for x in (m.name, m.slack)])[F.col("metric")]
     fenced = rows.select(
         "lang", "source", "metric",
-        (pick("high") + policy.reach * F.greatest(pick("high") - pick("middle"), slack)).alias("above"),
-        (pick("low") - policy.reach * F.greatest(pick("middle") - pick("low"), slack)).alias("below"),
+        (F.col("high") + policy.reach * F.greatest(F.col("high") - F.col("middle"), slack)).alias("above"),
+        (F.col("low") - policy.reach * F.greatest(F.col("middle") - F.col("low"), slack)).alias("below"),
     )
     wide = [
         F.max(F.when(F.col("metric") == m.name, F.col(c))).alias(f"{m.name}_{c}")
@@ -160,8 +172,9 @@ def limits(sketch: DataFrame, policy: Policy = Policy()) -> DataFrame:
 
 def fences(counts: DataFrame, lang: str = "lang", source: str = "source", policy: Policy = Policy()) -> DataFrame:
     """The limits as a written table, whose size Spark knows when it plans the
-    join: a small one is broadcast, a large one joined by sort and merge."""
-    return written(limits(sketches(counts, lang, source), policy), "fences")
+    join: a small one is broadcast, a large one joined by sort and merge. The
+    sketches are written too, for limits read them several times."""
+    return written(limits(written(sketches(counts, lang, source), "sketches"), policy), "fences")
 
 
 def judge(counts: DataFrame, fenced: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:

@@ -114,6 +114,44 @@ def test_quality_null_groups_and_empty(spark, documents):
     assert quality.judge(none, quality.fences(none)).collect() == []
 
 
+def _prose_and(spark, *sources):
+    """Rows like `measured` gives: 10000 documents of prose without symbols and,
+    of each (name, n, symbols), n documents of 100 words."""
+    rows = [(0, "en", "prose")] * 10000 + [(symbols, "en", name) for name, n, symbols in sources for _ in range(n)]
+    return spark.createDataFrame(
+        [(i, lang, name, 100, 500, symbols, 1, 0, 0) for i, (symbols, lang, name) in enumerate(rows)],
+        "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, "
+        "n_dup_lines long, n_repeat_words long",
+    )
+
+
+def test_small_sources_have_limits_of_their_own(spark):
+    """A source of unusual style is judged alike just below and above any size."""
+    counts = _prose_and(spark, ("code150", 150, 40), ("code199", 199, 40), ("code200", 200, 40), ("few", 3, 40))
+    kept = Counter(r["source"] for r in quality.judge(counts, quality.fences(counts)).filter("kept").collect())
+    assert kept == {"prose": 10000, "code150": 150, "code199": 199, "code200": 200}  # three are no evidence
+
+
+def test_priors_have_fixed_weight_and_even_ranks(spark):
+    schema = "lang string, metric string, bucket int, n long"
+    coarse = spark.createDataFrame([("en", "m", None, 500), ("en", "m", 1, 300), ("en", "m", 2, 200), (None, "m", 7, 3)], schema)
+    thin = {(r["lang"], r["bucket"]): r["n"] for r in quality.thinned(coarse, 10, "lang").collect()}
+    assert thin == {("en", None): 5, ("en", 1): 3, ("en", 2): 2, (None, 7): 10}
+    fine = spark.createDataFrame([("en", "a", "m", 1, 4), (None, None, "m", 9, 1)], "lang string, source string, metric string, bucket int, n long")
+    rows = quality.with_prior(fine, coarse, 10, ("lang", "source"), ("lang",)).collect()
+    assert {(r["lang"], r["source"], r["bucket"]): r["n"] for r in rows} == {
+        ("en", "a", None): 5, ("en", "a", 1): 7, ("en", "a", 2): 2, (None, None, 7): 10, (None, None, 9): 1,
+    }
+
+
+def test_labelled_documents_are_judged_as_labelled(spark):
+    folder = "/root/testdata/sf0.1"
+    judged = queries.op4_quality_rules(spark, folder).filter("NOT base_failed").select("doc_id", "kept")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    kept = {(r["quality"], r["kept"]) for r in judged.join(labels, "doc_id").distinct().select("quality", "kept").collect()}
+    assert kept == {(0, False), (1, True)}
+
+
 def test_sketch_quantiles_are_close(spark):
     values = [float(x) for x in np.random.RandomState(0).lognormal(0, 1, 5000)]
     counts = spark.createDataFrame(
