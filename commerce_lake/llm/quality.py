@@ -7,9 +7,12 @@ merge exactly in any order and give each quantile within a relative error of
 of fixed cutoffs, and documents are filtered by joining them with the limits
 of their group.
 
-A fence is quantile(3/4) + reach * max(quantile(3/4) - quantile(1/2), slack):
-it moves with what is usual in a group, and a group whose documents are all
-alike does not reject the small differences among them. One rule holds for
+A fence is top + reach * max(top - quantile(1/2), slack), where top is
+quantile(3/4), or a higher one for a metric that is zero in most documents: it
+moves with what is usual in a group, and a group whose documents are all alike
+does not reject the small differences among them; there slack alone rules.
+Sketches count the documents that pass the base rules, as the others are
+rejected whatever the limits. One rule holds for
 sources of every size: to a source's sketch its language's is added as `prior`
 documents at evenly spaced ranks, and before that everything's to each
 language's. So a source of a few documents is judged by its language, and the
@@ -44,20 +47,22 @@ SYMBOLS = "#*$%&|<>"  # fixed value
 @dataclass(frozen=True)
 class Metric:
     """A ratio of two counts; above its fence a document is rejected, and below
-    the mirrored one as well if `both`. `slack` is in the unit of the ratio."""
+    the mirrored one as well if `both`. `slack` is in the unit of the ratio, `top`
+    the quantile that the upper fence starts from."""
 
     name: str
     over: str
     under: str
     slack: float
     both: bool = False
+    top: float = 0.75
 
 
 METRICS = (
     Metric("mean_word_chars", "word_chars", "n_words", 0.3, both=True),
     Metric("symbols_per_word", "n_symbols", "n_words", 0.02),
     Metric("dup_line_share", "n_dup_lines", "n_lines", 0.1),
-    Metric("repeat_share", "n_repeat_words", "n_words", 0.1),
+    Metric("repeat_share", "n_repeat_words", "n_words", 0.05, top=0.95),
 )
 
 
@@ -107,7 +112,7 @@ def sketches(counts: DataFrame, lang: str = "lang", source: str = "source") -> D
     )
     each = F.array(*[F.struct(F.lit(m.name).alias("metric"), bucket(m).alias("bucket")) for m in METRICS])
     return (
-        counts.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(each).alias("m"))
+        counts.filter(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(each).alias("m"))
         .groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count("*").alias("n"))
     )
 
@@ -118,8 +123,9 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """n, low, middle and high quartile per group and metric. A group has as
-    many rows as buckets, a few hundred."""
+    """n, low quartile, median and the metric's upper quantile per group and
+    metric. A group has as many rows as buckets, a few hundred."""
+    top = F.create_map(*[F.lit(x) for m in METRICS for x in (m.name, m.top)])[F.col("metric")]
     group = Window.partitionBy(*keys, "metric")
     value = F.coalesce(F.pow(F.lit(GAMMA), F.col("bucket")) * (2 / (1 + GAMMA)), F.lit(0.0))
     ranked = sketch.withColumn("total", F.sum("n").over(group)).withColumn(
@@ -127,7 +133,7 @@ def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
     )
     at = lambda q, name: F.min(F.when(F.col("upto") >= q * F.col("total"), value)).alias(name)
     return ranked.groupBy(*keys, "metric").agg(
-        F.first("total").alias("n"), at(0.25, "low"), at(0.5, "middle"), at(0.75, "high")
+        F.first("total").alias("n"), at(0.25, "low"), at(0.5, "middle"), at(top, "high")
     )
 
 

@@ -132,6 +132,20 @@ def test_small_sources_have_limits_of_their_own(spark):
     assert kept == {"prose": 10000, "code150": 150, "code199": 199, "code200": 200}  # three are no evidence
 
 
+def test_repetition_has_a_fence_below_the_base_rule(spark):
+    """0.45 is unusual in prose, usual in verse; what fails the base rules moves no fence."""
+    shares = [("prose", share, n) for share, n in ((0, 280), (2, 19), (45, 1), (95, 40))]
+    shares += [("verse", share, n) for share, n in ((0, 20), (30, 150), (45, 130))]
+    rows = [(source, 500, 2500, 0, 1, 0, 5 * share) for source, share, n in shares for _ in range(n)]
+    counts = spark.createDataFrame(
+        [("en", *row) for row in rows],
+        "lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long",
+    )
+    judged = quality.judge(counts, quality.fences(counts)).filter("kept").collect()
+    kept = Counter((r["source"], r["n_repeat_words"] // 5) for r in judged)
+    assert kept == {(source, share): n for source, share, n in shares if (source, share) not in {("prose", 45), ("prose", 95)}}
+
+
 def test_priors_have_fixed_weight_and_even_ranks(spark):
     schema = "lang string, metric string, bucket int, n long"
     coarse = spark.createDataFrame([("en", "m", None, 500), ("en", "m", 1, 300), ("en", "m", 2, 200), (None, "m", 7, 3)], schema)
