@@ -35,10 +35,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest doc_id of each group of copies and
-    near-copies (five-word shingles, similarity of 0.8 or more)."""
-    found = neardup.link(docs.select("doc_id", "text"))
-    return _without(docs, F.col("doc_id"), found.filter("NOT kept").select("doc_id"), "copies")
+    """Keep one document of each group of copies and near-copies (five-word
+    shingles, similarity of 0.8 or more): that of the smallest doc_id, rows
+    without one last. Rows are numbered, so that those of one id, or of none,
+    are judged each; the numbers are written, for a later scan might give others."""
+    row = unused(docs, "_row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = neardup.link(numbered.select(F.col(row).alias("row"), "text"), key="row")
+    copies = written(found.filter("NOT kept").select("row", "component_id"), "copies")
+    members = copies.union(copies.select("component_id", "component_id").distinct())
+    ids = numbered.select(F.col(row).alias("row"), "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first")
+    firsts = members.join(ids, "row").groupBy("component_id").agg(first).select("first.row")
+    dropped = members.select("row").join(firsts, "row", "left_anti")
+    return _without(numbered, F.col(row), dropped, "dropped").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -400,3 +400,15 @@ def test_decontamination_judges_rows_of_one_id_each(spark, sf_dir):
 def test_whole_queries(spark):
     for name, query in queries.QUERIES.items():
         assert query(spark, SF).count() > 0, name
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(5, a, 0), (3, a, 1), (5, b, 2), (2, c, 3), (2, c, 4), (None, d, 5), (None, d, 6), (None, a, 7), (9, None, 8), (9, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, None)
+    assert kept.columns == docs.columns
+    kept = [tuple(r) for r in kept.collect()]
+    assert sorted(t or "" for _, t, _ in kept) == ["", "", a, b, c, d]
+    assert {(i, t) for i, t, _ in kept} == {(3, a), (5, b), (2, c), (None, d), (9, None)}
+    assert len({n for *_, n in kept}) == 6
