@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
-An Aho-Corasick automaton runs once over a text and reports anchors: at-signs,
-plus signs, digits, URL schemes and identifier cues. Around each anchor a local
+An Aho-Corasick automaton runs once over a text, A-Z folded, and reports anchors:
+at-signs, plus signs, digits, URL schemes and identifier cues. Around each anchor a local
 parser expands to the boundaries of its kind and validates them. Parsers of one
 kind move left to right and never look behind the end of their last match, so
 matches are leftmost and do not overlap, and the work is linear in the text.
@@ -40,6 +40,11 @@ _URL = re.compile(r"[^\x00-\x20\"'<>\\^`{|}]+")
 _ACCOUNT = re.compile(r"[\x20:#.=-]{1,4}(?:(?i:no|nr|number|num)[\x20:#.=]{1,3})?([A-Za-z]{0,4}[0-9](?:[\x20-]?[A-Za-z0-9]){5,33})")
 
 
+def folded(text: str) -> str:
+    """The text with A-Z in lower case, of the same length."""
+    return text.encode().lower().decode()  # of bytes: folds ASCII only
+
+
 def automaton() -> ahocorasick.Automaton:
     anchors = ahocorasick.Automaton()
     anchors.add_word("@", ("@", 1))
@@ -47,11 +52,9 @@ def automaton() -> ahocorasick.Automaton:
     for digit in "0123456789":
         anchors.add_word(digit, ("0", 1))
     for scheme in SCHEMES:
-        for form in (scheme, scheme.upper()):
-            anchors.add_word(form, ("url", len(form)))
+        anchors.add_word(scheme, ("url", len(scheme)))
     for cue in CUES:
-        for form in (cue, cue.capitalize(), cue.upper()):
-            anchors.add_word(form, ("cue", len(form)))
+        anchors.add_word(cue, ("cue", len(cue)))
     anchors.make_automaton()
     return anchors
 
@@ -87,7 +90,7 @@ def spans_of(text: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int,
     """All spans of a text, by kind as listed, then start."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     free = dict.fromkeys((*KINDS, "dotted"), 0)  # where the next match of a kind may begin
-    for last, (anchor, length) in anchors.iter(text):
+    for last, (anchor, length) in anchors.iter(folded(text)):
         at = last - length + 1
         if anchor == "0":
             if at >= free["dotted"]:

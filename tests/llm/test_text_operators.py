@@ -46,6 +46,16 @@ def test_account_numbers_are_validated():
     assert found("account of the holder") == []
 
 
+def test_schemes_and_cues_in_any_casing():
+    a = pii.automaton()
+    found = lambda t: [(k, t[s:e]) for k, s, e in pii.spans_of(t, a) if k in ("url", "account")]
+    for lead in ("", "İ🙂ẞ "):  # lower() would change the length of the first
+        assert found(f"{lead}Http://user:pw@host/x") == [("url", "Http://user:pw@host/x")]
+        assert found(f"{lead}hTTpS://A.b/C ok") == [("url", "hTTpS://A.b/C")]
+        assert found(f"{lead}aCCount no: 1234-5678 is") == [("account", "1234-5678")]
+    assert pii.folded("AbZİẞ") == "abzİẞ"
+
+
 def test_secrets_match_the_patterns(documents):
     rows = secret_scan.find(documents(TEXTS), spans="found").collect()
     base = {r.kind for r in secret_scan.BASE_RULES}
