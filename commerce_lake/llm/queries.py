@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.llm import chat, decontam, lm, neardup, packing, pii, quality, secret_scan, shards, warc
+from commerce_lake.llm import (
+    chat, decontam, lm, merkle, neardup, packing, pii, quality, secret_scan, shards, vector_codes, vector_search, warc,
+)
 from commerce_lake.llm.common import span_list, written
 
 SHARDS = 40
@@ -115,6 +118,29 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    coded = written(coded, "coded")
+    labels = coded.groupBy("label").agg(F.sum(F.col("error").cast("decimal(38,0)")).try_cast("long").alias("label_error"))
+    labels = written(labels.withColumnRenamed("label", "_label"), "label-errors")
+    digits = ",".join(str(x) for book in books for x in book.ravel().tolist())
+    return coded.join(labels, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", "code", "error", "label_error", F.sha2(F.lit(digits), 256).alias("codebooks_sha256")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed={"text": F.when(third, lowered).otherwise(F.col("text"))})
+    return found.withColumnRenamed("folded", "folded_root").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_search.search(rows, F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_prefix_tree_chat": op1_prefix_tree_chat,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -126,6 +152,9 @@ QUERIES = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_personal_data": op9_personal_data,
     "op10_vector_packing": op10_vector_packing,
+    "op11_dual_tree_codes": op11_dual_tree_codes,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_adaptive_dimension_scan": op13_adaptive_dimension_scan,
 }
 
 _CONVERSATIONS = r"""
