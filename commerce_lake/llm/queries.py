@@ -202,4 +202,109 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM lowered LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_prefix_tree_chat": _CONVERSATIONS, "op5_benchmark_containment": _CONTAINMENT}
+_CODES_START = """
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT row, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM kept, range(4) AS parts(p)
+), book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS y FROM cut JOIN kept USING (row)
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 256
+)"""
+
+_CODES_ROUND = """, near{r} AS (
+  SELECT row, p, x, e, away FROM (
+    SELECT row, p, x, e, list_inner_product(x, x) - 2 * list_inner_product(x, y) + list_inner_product(y, y) AS away
+    FROM cut JOIN book{r} USING (p)
+  ) QUALIFY row_number() OVER (PARTITION BY row, p ORDER BY away, e) = 1
+)"""
+
+_CODES_MEANS = """, sums{r} AS (
+  SELECT p, e, i, floor(sum(x[i]) / count(*)) AS mean
+  FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM near{r}) GROUP BY p, e, i
+), book{n} AS (
+  SELECT p, e, coalesce(means, y) AS y
+  FROM book{r} LEFT JOIN (SELECT p, e, list(mean ORDER BY i) AS means FROM sums{r} GROUP BY p, e) USING (p, e)
+)"""
+
+_CODES = (
+    _CODES_START
+    + "".join(_CODES_ROUND.format(r=r) + _CODES_MEANS.format(r=r, n=r + 1) for r in range(4))
+    + _CODES_ROUND.format(r=4)
+    + """, coded AS (
+  SELECT row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(away)::BIGINT AS error FROM near4 GROUP BY row
+), digits AS (
+  SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS sha
+  FROM (SELECT p, e, unnest(y) AS c, unnest(range(len(y))) AS i FROM book4)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha FROM digits) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
+"""
+)
+
+_MERKLE = """
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY b) AS steps FROM (
+    SELECT b, list_reduce(list_concat([b], range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS bytes(b)
+  )
+), rows AS (
+  SELECT row_number() OVER () AS row, *, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS crc32
+  FROM documents, crc
+), spelled AS (
+  SELECT row, doc_id, lang, crc32 % 3 = 0 AS tampered,
+    concat(
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-')
+    ) AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low
+  FROM rows
+), leaves AS (
+  SELECT row, doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+    sha256(head || body) AS leaf, sha256(head || CASE WHEN tampered THEN low ELSE body END) AS altered
+  FROM spelled
+), nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 8, n
+), subroots AS (SELECT tree, level, digest FROM nodes WHERE n = 1),
+above AS (
+  SELECT 0 AS level, row_number() OVER (ORDER BY tree) - 1 AS pos, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM above WHERE n > 1 GROUP BY level, pos // 8, n
+), steps AS (
+  SELECT tree, level, pos, digest FROM nodes WHERE n > 1
+  UNION ALL SELECT -1, level, pos, digest FROM above WHERE n > 1
+), sided AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM steps a JOIN steps b ON a.tree = b.tree AND a.level = b.level AND a.pos // 8 = b.pos // 8 GROUP BY a.tree, a.level, a.pos
+), climbed AS (
+  SELECT row, tree, 0 AS level, pos, altered AS cur, '' AS seen, false AS done FROM leaves
+  UNION ALL
+  SELECT row, CASE WHEN s.tree IS NULL THEN -1 ELSE c.tree END, CASE WHEN s.tree IS NULL THEN 0 ELSE c.level + 1 END,
+    CASE WHEN s.tree IS NULL THEN c.tree - 1 ELSE c.pos // 8 END,
+    CASE WHEN s.tree IS NULL THEN cur ELSE sha256(before || cur || after) END, seen || coalesce(before || after, ''),
+    s.tree IS NULL AND c.tree = -1
+  FROM climbed c LEFT JOIN sided s ON c.tree = s.tree AND c.level = s.level AND c.pos = s.pos WHERE NOT done
+)
+SELECT doc_id, leaf, s.digest AS subroot, (SELECT digest FROM above WHERE n = 1) AS root, sha256(seen) AS proof_sha256,
+  cur AS folded_root, cur = (SELECT digest FROM above WHERE n = 1) AS verified
+FROM climbed c JOIN leaves l USING (row) JOIN subroots s ON s.tree = l.tree WHERE done
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_prefix_tree_chat": _CONVERSATIONS,
+    "op5_benchmark_containment": _CONTAINMENT,
+    "op11_dual_tree_codes": _CODES,
+    "op12_merkle_manifest": _MERKLE,
+}

@@ -113,9 +113,10 @@ class Tree:
     @classmethod
     def read(cls, items: np.ndarray, leaf: int, order: bytes, low: bytes, high: bytes, sums: bytes) -> Tree:
         width = items.shape[1]
-        place = np.frombuffer(order, np.int32)
-        boxes = [np.frombuffer(b, np.int32).reshape(-1, width).astype(np.int64) for b in (low, high)]
-        return cls(place, items[place], *layout(len(items), leaf), *boxes, np.frombuffer(sums, np.int64).reshape(-1, width))
+        place, spans = np.frombuffer(order, np.int32), layout(len(items), leaf)
+        shape = (len(spans[0]), width)
+        boxes = [np.frombuffer(b, np.int32).reshape(shape).astype(np.int64) for b in (low, high)]
+        return cls(place, items[place], *spans, *boxes, np.frombuffer(sums, np.int64).reshape(shape))
 
 
 class Book:
