@@ -7,10 +7,11 @@ from commerce_lake.catalog.views import VIEWS
 from commerce_lake.plans import analytics
 
 _LATE_BUCKET = """
-    CASE WHEN is_late THEN
-           CASE WHEN days_late > 15 THEN '4  16+ days late' WHEN days_late > 7 THEN '3  8-15 days late'
-                WHEN days_late > 3 THEN '2  4-7 days late' ELSE '1  1-3 days late' END
-         ELSE '0  on time / early' END"""
+    CASE WHEN NOT is_late THEN '0  on time / early'
+         WHEN days_late <= 3 THEN '1  1-3 days late'
+         WHEN days_late <= 7 THEN '2  4-7 days late'
+         WHEN days_late <= 15 THEN '3  8-15 days late'
+         ELSE '4  16+ days late' END"""
 
 ANALYSIS_VIEWS = {
     **VIEWS,

@@ -6,6 +6,7 @@ names, reads it back through the source or sink under test and summarises it.
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import date, datetime
 
@@ -127,7 +128,7 @@ def _refusal(table: str, read) -> str:
             read()
         return "none"
     except ContractError as error:
-        return str(error).split(" in file:")[0].split(" in /")[0]
+        return re.split(r" in (?:[a-z][a-z0-9+.-]*:)?/", str(error))[0]
 
 
 def _append(df: DataFrame, folder: str, table: str) -> None:

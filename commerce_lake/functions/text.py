@@ -12,9 +12,20 @@ WHITE_SPACE = "".join(
 )
 
 
+def _visible(text: Column) -> Column:
+    """Whether a text starts with a visible character of ASCII, none of which is white space."""
+    return (text >= F.lit("!")) & (text < F.lit("\x7f"))
+
+
 def stripped(col: Column | str) -> Column:
-    """Text without white space at its ends: tabs and line breaks as well as spaces."""
-    return F.trim(F.col(col) if isinstance(col, str) else col, F.lit(WHITE_SPACE))
+    """Text without white space at its ends: tabs and line breaks as well as spaces.
+
+    Nearly every value starts and ends with a visible character of ASCII, which
+    two comparisons tell; only the others are searched for the whole set.
+    """
+    text = F.col(col) if isinstance(col, str) else col
+    clean = _visible(text) & _visible(F.substring(text, -1, 1))
+    return F.when(clean, text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
 
 
 def trimmed(name: str) -> Column:

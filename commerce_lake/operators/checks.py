@@ -1,9 +1,10 @@
 """Data-quality checks that report counts instead of raising.
 
 Every check yields one row: name, model, column, severity, failures, passed.
-Row-level checks of a model share one aggregate over it; uniqueness and
-reference checks count per key first, so a key that fills a third of the
-table is one row by the time it is shuffled. Nulls fail only `not_null`.
+Row-level checks of a model share one aggregate over it, reference checks of
+all models one search for parents; uniqueness and reference checks count per
+key first, so a key that fills a third of the table is one row by the time it
+is shuffled. Nulls fail only `not_null`.
 """
 
 from __future__ import annotations
@@ -79,6 +80,40 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return carried.join(known, key, "left_anti")
 
 
+def lost_references(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """One row: per check, as column `lost_<place>`, the rows whose key its parent lacks.
+
+    Every child is read once for all its keys, every parent once per key that is
+    referred to. Keys are counted before they move, so that a hot one is a row
+    per task, and the counts already lie as the search for parents needs them.
+    """
+    parents = list(dict.fromkeys(check.args for check in checks))
+    of_child: dict[str, list[int]] = {}
+    for place, check in enumerate(checks):
+        of_child.setdefault(check.model, []).append(place)
+    carried = []
+    for model, places in of_child.items():
+        keys = [
+            F.struct(
+                F.lit(parents.index(checks[place].args)).alias("parent"),
+                F.col(checks[place].columns[0]).cast("string").alias("key"),
+                F.lit(place).alias("place"),
+            )
+            for place in places
+        ]
+        carried.append(tables[model].select(F.inline(F.array(*keys))).where("key IS NOT NULL"))
+    counted = reduce(DataFrame.unionAll, carried).groupBy("parent", "key").agg(
+        *[F.count_if(F.col("place") == place).alias(f"lost_{place}") for place in range(len(checks))]
+    )
+    known = [
+        tables[model].select(F.lit(number).alias("parent"), F.col(key).cast("string").alias("key"))
+        for number, (model, key) in enumerate(parents)
+    ]
+    lost = counted.join(reduce(DataFrame.unionAll, known), ["parent", "key"], "left_anti")
+    names = [f"lost_{place}" for place in range(len(checks))]
+    return lost.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+
+
 def _rows_of_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     results = []
     for check in checks:
@@ -95,15 +130,15 @@ def evaluate(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFr
     """One row per check. `tables` maps the model names checks refer to."""
     parts: list[DataFrame] = []
     row_level: dict[str, list[Check]] = {}
+    references: list[Check] = []
     for check in checks:
         df = tables[check.model]
         match check.kind:
             case "unique" | "unique_combination":
                 found = duplicate_keys(df, check.columns).agg(F.count("*").alias("n"))
             case "relationships":
-                parent, parent_key = check.args
-                lost = orphans(df, check.columns[0], tables[parent], parent_key)
-                found = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
+                references.append(check)
+                continue
             case "fewer_rows_than":
                 mine = df.agg(F.count("*").alias("mine"))
                 other = tables[check.args].agg(F.count("*").alias("other")).scalar()
@@ -112,6 +147,9 @@ def evaluate(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFr
                 row_level.setdefault(check.model, []).append(check)
                 continue
         parts.append(found.select(F.inline(F.array(_result(check, F.col("n"))))))
+    if references:
+        found = [_result(check, F.col(f"lost_{place}")) for place, check in enumerate(references)]
+        parts.append(lost_references(tables, references).select(F.inline(F.array(*found))))
     parts += [_rows_of_model(tables[model], group) for model, group in row_level.items()]
     return reduce(DataFrame.unionAll, parts)
 

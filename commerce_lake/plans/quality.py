@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.numbers import MONEY, percent_where
-from commerce_lake.operators.checks import WARN, Check, evaluate, orphans
+from commerce_lake.operators.checks import WARN, Check, evaluate, lost_references
 from commerce_lake.operators.shares import in_one_row
 from commerce_lake.params import ORDER_STATUSES, PAYMENT_TYPES, Params
 from commerce_lake.plans.models import Models
@@ -205,20 +205,11 @@ def rollup_mismatches(m: Models) -> DataFrame:
 def orphan_counts(m: Models) -> DataFrame:
     """Fact rows whose key is missing from its dimension, per foreign key."""
     keys = [c for c in declared_checks(m.params) if c.kind == "relationships" and c.model.startswith("fct_")]
-    tables = ModelTables(m)
-    counts = []
-    for check in keys:
-        parent, parent_key = check.args
-        lost = orphans(tables[check.model], check.columns[0], tables[parent], parent_key)
-        counts.append(
-            lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphans")).select(
-                F.lit(check.model).alias("model"), F.lit(check.columns[0]).alias("key"), "orphans"
-            )
-        )
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionAll(other)
-    return result
+    rows = [
+        F.struct(F.lit(c.model).alias("model"), F.lit(c.columns[0]).alias("key"), F.col(f"lost_{place}").alias("orphans"))
+        for place, c in enumerate(keys)
+    ]
+    return lost_references(ModelTables(m), keys).select(F.inline(F.array(*rows)))
 
 
 def date_coverage(m: Models) -> DataFrame:

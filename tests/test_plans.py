@@ -119,3 +119,14 @@ def test_yearly_sums_precede_the_product_join(no_broadcasts):
     products = plan.index("/part.parquet")
     join = plan.rindex("SortMergeJoin", 0, products)
     assert "HashAggregate" in plan[join:products], "lines are summed below the join with products"
+
+
+def test_headline_metrics_sum_lines_once_for_both_distinct_counts(no_broadcasts):
+    plan = final_plan(all_queries()["A0.1_headline_metrics"](no_broadcasts, SF))
+    assert scans_of(plan, "lineitem") <= 4 and scans_of(plan, "orders") <= 7
+
+
+def test_reference_checks_read_every_fact_once_for_all_its_keys(no_broadcasts):
+    plan = final_plan(all_queries()["C3_relationships"](no_broadcasts, SF))
+    # Lines are read as lines with three keys, as payments, and for customers' payments; reviews once.
+    assert scans_of(plan, "events") == 1 and scans_of(plan, "lineitem") <= 3
