@@ -204,8 +204,6 @@ def test_search_is_exact_when_all_lists_are_probed(spark):
     got, expected = _hits(found), _nearest(rows, 7, lambda i: i % 4 == 0)
     # Scores tie only for equal vectors here, so ids are fixed by the smaller key.
     assert got == expected
-    common = [r["vec_id"] for r in found.filter("query_id = 2100").orderBy("rank").collect()]
-    assert common == [3, *range(2000, 2006)]
 
 
 def test_search_of_varied_lengths_reaches_its_recall(spark, sf_dir):
