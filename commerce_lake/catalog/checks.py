@@ -13,7 +13,7 @@ from commerce_lake.catalog.common import Query, over_models, over_tables, with_v
 from commerce_lake.catalog.views import VIEWS
 from commerce_lake.operators.checks import Check, blocking, evaluate, freshness
 from commerce_lake.plans import quality
-from commerce_lake.plans.build import PARENTS, BuildReport, build, layer_of
+from commerce_lake.plans.build import PARENTS, BuildReport, build, layer_of, stored_model
 from commerce_lake.sources.storage import Lake, shared_folder
 
 _KINDS = {
@@ -207,7 +207,7 @@ def _gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finished_tables(spark: SparkSession, lake: Lake, report: BuildReport) -> dict[str, DataFrame]:
     """Tables that a build wrote; staging stays a view."""
-    return {m: spark.read.parquet(lake.path(layer_of(m), m)) for m in report.built if layer_of(m) != "staging"}
+    return {m: stored_model(spark, lake, m) for m in report.built if layer_of(m) != "staging"}
 
 
 _BUILT_VIEW = {

@@ -10,6 +10,7 @@ import re
 import uuid
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +20,11 @@ from commerce_lake.catalog.views import VIEWS
 from commerce_lake.functions.numbers import MONEY
 from commerce_lake.plans import analytics
 from commerce_lake.plans.marts import spine_covering
-from commerce_lake.sources import landing
+from commerce_lake.sources import landing, versions
 from commerce_lake.sources.contract import ContractError, location, missing_files, refusing, scan
 from commerce_lake.sources.schema import RAW_TABLES
 from commerce_lake.sources.storage import (
-    Lake, publish, replace_days, shared_folder, to_client, write_clustered, write_json_records,
+    Lake, publish, refresh_days, replace_days, shared_folder, to_client, write_clustered, write_json_records,
     write_partitioned, write_table,
 )
 
@@ -271,7 +272,7 @@ def _(spark, sf_dir, folder):
     zone = _landed(spark, sf_dir, folder)
     result = None
     for day in (date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)):
-        rows = scan(spark, landing.prefix_of(zone, day), RAW_TABLES["orders"]).agg(F.count("*").alias("orders"))
+        rows = scan(spark, landing.prefix_on(spark, zone, day), RAW_TABLES["orders"]).agg(F.count("*").alias("orders"))
         row = rows.select(F.lit(day.isoformat()).alias("day"), "orders")
         result = row if result is None else result.unionAll(row)
     return result
@@ -282,7 +283,7 @@ def _(spark, sf_dir, folder):
     UNION ALL SELECT 'chosen', count(*) FROM orders""")
 def _(spark, sf_dir, folder):
     zone = _landed(spark, sf_dir, folder)
-    prefixes = {"latest": landing.latest_prefix(spark, zone), "chosen": landing.prefix_of(zone, date(2024, 1, 1))}
+    prefixes = {"latest": landing.latest_prefix(spark, zone), "chosen": landing.prefix_on(spark, zone, date(2024, 1, 1))}
     parts = [
         scan(spark, prefix, RAW_TABLES["orders"]).agg(F.count("*").alias("orders")).select(F.lit(k).alias("which"), "orders")
         for k, prefix in prefixes.items()
@@ -357,6 +358,19 @@ def _(spark, sf_dir, folder):
     return _count_by(stored, "product_category_name")
 
 
+@_add("S16b_failed_write_keeps_the_last", """
+    SELECT product_category_name, count(*) AS n, TRUE AS refused FROM dim_product GROUP BY 1""")
+def _(spark, sf_dir, folder):
+    products = models(spark, sf_dir).dim_product
+    write_table(products, folder)
+    try:
+        write_table(products.where(F.raise_error(F.lit("lost")).isNull()), folder)
+        refused = False
+    except PySparkException:
+        refused = True
+    return _count_by(versions.read(spark, folder), "product_category_name").withColumn("refused", F.lit(refused))
+
+
 @_add("S17_day_partitioned_table", """
     SELECT review_creation_date, count(*) AS n, sum(review_score)::BIGINT AS score FROM fct_reviews
     WHERE review_creation_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1""")
@@ -388,6 +402,21 @@ def _(spark, sf_dir, folder):
     )
 
 
+@_add("S17c_only_changed_days", """
+    SELECT review_creation_date AS day, TRUE AS rewritten, count(*) AS n, max(review_score)::BIGINT AS best FROM fct_reviews
+    WHERE day(review_creation_date) = 3 AND review_score = 5 GROUP BY 1""")
+def _(spark, sf_dir, folder):
+    """One row less on some days: these days alone are written again."""
+    reviews = models(spark, sf_dir).fct_reviews
+    layout = ("review_creation_date", ["order_id"])
+    refresh_days(reviews, folder, *layout)
+    third = F.coalesce(F.dayofmonth("review_creation_date") == 3, F.lit(False))
+    written = refresh_days(reviews.where(~third | (F.col("review_score") == 5)), folder, *layout)
+    stored = versions.read(spark, folder, reviews.schema, "review_creation_date")
+    days = stored.groupBy(F.col("review_creation_date").alias("day")).agg(F.count("*").alias("n"), F.max("review_score").alias("best"))
+    return days.where(versions.is_one_of(F.col("day"), set(written))).select("day", F.lit(True).alias("rewritten"), "n", "best")
+
+
 @_add("S18_clustered_table", """
     SELECT payment_type, count(*) AS n, sum(payment_value)::DOUBLE AS value FROM fct_payments
     WHERE order_id BETWEEN 'o2' AND 'o3' GROUP BY 1""")
@@ -429,7 +458,7 @@ def _(spark, sf_dir, folder):
     sales = analytics.sla_sales(models(spark, sf_dir))
     publish(sales, folder, allow_replace=True)
     unasked = publish(sales.limit(0), folder)
-    return _count_by(spark.read.parquet(folder), "year").withColumn("replaced_unasked", F.lit(unasked))
+    return _count_by(versions.read(spark, folder), "year").withColumn("replaced_unasked", F.lit(unasked))
 
 
 @_add("S22_small_client_frame", "SELECT order_status, count(*) AS n FROM stg_orders GROUP BY 1")

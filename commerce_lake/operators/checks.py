@@ -114,15 +114,25 @@ def lost_references(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
     return lost.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
 
 
+def failures(check: Check) -> Column | None:
+    """Aggregate that counts what fails a check of single rows or of the row count; None for other checks."""
+    if check.kind == "row_count_between":
+        low, high = check.args
+        return F.when(F.count("*").between(low, high), 0).otherwise(1)
+    bad = _violation(check)
+    return None if bad is None else F.count_if(bad)
+
+
+def result_of(check: Check, failed: int) -> dict:
+    """What `blocking(evaluate(...))` returns for a check, from a number of failures counted elsewhere."""
+    return {
+        "check_name": check.kind, "model": check.model, "column_name": check.label, "severity": check.severity,
+        "failures": int(failed), "passed": failed == 0, "blocks": check.severity == ERROR and failed != 0,
+    }
+
+
 def _rows_of_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    results = []
-    for check in checks:
-        if check.kind == "row_count_between":
-            low, high = check.args
-            inside = F.count("*").between(low, high)
-            results.append(_result(check, F.when(inside, 0).otherwise(1)))
-        else:
-            results.append(_result(check, F.count_if(_violation(check))))
+    results = [_result(check, failures(check)) for check in checks]
     return df.agg(F.array(*results).alias("results")).select(F.inline("results"))
 
 

@@ -6,13 +6,14 @@ from collections.abc import Mapping
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from commerce_lake.operators.checks import Check, blocking, evaluate
+from commerce_lake.operators.checks import Check, blocking, evaluate, failures, result_of
 from commerce_lake.params import Params
 from commerce_lake.plans.models import Models
 from commerce_lake.plans.quality import ModelTables, declared_checks, location_checks
+from commerce_lake.sources import versions
 from commerce_lake.sources.storage import Lake, write_clustered, write_partitioned, write_table
 
 # Each model with the tables it is made from, parents before children.
@@ -70,6 +71,7 @@ class BuildReport:
     failed: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     results: list[dict] = field(default_factory=list)
+    errors: dict[str, str] = field(default_factory=dict)
 
     @property
     def warnings(self) -> list[dict]:
@@ -92,18 +94,21 @@ def with_ancestors(models: list[str]) -> set[str]:
     return wanted
 
 
-def write_model(model: str, df: DataFrame, lake: Lake) -> DataFrame:
+def write_model(
+    model: str, df: DataFrame, lake: Lake, watch: Mapping[str, Column] | None = None, seen: dict | None = None
+) -> DataFrame:
     """Staging stays a view. Later layers are written once and read many times:
-    the table also cuts the lineage, so a lost executor repeats little work."""
+    the table also cuts the lineage, so a lost executor repeats little work.
+    `watch` names aggregates that the writing pass computes into `seen`."""
     path = lake.path(layer_of(model), model)
     if layer_of(model) == "staging":
         df.createOrReplaceTempView(model)
         return df
     if model in PARTITIONED:
-        return write_partitioned(df, path, *PARTITIONED[model])
+        return write_partitioned(df, path, *PARTITIONED[model], watch, seen)
     if model in CLUSTERED:
-        return write_clustered(df, path, CLUSTERED[model])
-    return write_table(df, path)
+        return write_clustered(df, path, CLUSTERED[model], watch, seen)
+    return write_table(df, path, watch, seen)
 
 
 def _tables_of(check: Check) -> set[str]:
@@ -111,6 +116,57 @@ def _tables_of(check: Check) -> set[str]:
     return {check.model} | other.get(check.kind, set)()
 
 
+def _write_and_check(model: str, df: DataFrame, lake: Lake, checks: list[Check]) -> tuple[DataFrame, list[dict]]:
+    """Write a model; its row-level checks are counted in the same pass."""
+    watch, seen = {f"check_{k}": failures(check) for k, check in enumerate(checks)}, {}
+    stored = write_model(model, df, lake, watch, seen)
+    return stored, [result_of(check, seen[f"check_{k}"]) for k, check in enumerate(checks)]
+
+
+class _Run:
+    """State of one build: what is written, what is being checked, what has failed."""
+
+    def __init__(self, m: Models, lake: Lake, checks: list[Check], raw: Mapping[str, DataFrame]) -> None:
+        self.m, self.lake, self.tables = m, lake, ModelTables(m)
+        self.pending, self.ready = checks, set(raw)
+        self.report = BuildReport()
+        self.checked_now: list[str] = []  # models whose checks are running
+
+    def record(self, rows: list[dict]) -> None:
+        for row in rows:
+            self.report.results.append(row)
+            if row["blocks"]:
+                self.fail(row["model"])
+
+    def fail(self, model: str, error: BaseException | None = None) -> None:
+        if model not in self.report.failed:
+            self.report.failed.append(model)
+        if error is not None:
+            self.report.errors[model] = f"{type(error).__name__}: {error}"
+
+    def stopped(self, model: str) -> bool:
+        return any(p in self.report.failed or p in self.report.skipped for p in PARENTS[model])
+
+    def may_start(self, model: str) -> bool:
+        return all(p in self.ready and p not in self.checked_now for p in PARENTS[model])
+
+    def write(self, model: str, pool: ThreadPoolExecutor) -> Future:
+        while_writing = [c for c in self.pending if c.model == model and failures(c) is not None and layer_of(model) != "staging"]
+        for check in while_writing:
+            self.pending.remove(check)
+        return pool.submit(lambda: _write_and_check(model, getattr(self.m, model), self.lake, while_writing))
+
+    def due(self) -> list[Check]:
+        """Checks whose tables are all there; they are handed out once."""
+        found = [c for c in self.pending if _tables_of(c) <= self.ready]
+        for check in found:
+            self.pending.remove(check)
+        return found
+
+    def evaluated(self, checks: list[Check]) -> list[dict]:
+        return [row.asDict() for row in blocking(evaluate(self.tables, checks)).collect()]
+
+
 def build(
     raw: Mapping[str, DataFrame],
     lake: Lake,
@@ -121,47 +177,63 @@ def build(
 ) -> BuildReport:
     """Write every model, running each check once the tables it names are there.
 
-    Up to `threads` models whose parents are ready are written side by side. A
-    failed error check marks its model as failed and everything downstream of
-    it as skipped; unrelated models go on. Only check results, one row per
-    declared check, come to the driver.
+    Up to `threads` models whose parents are ready are written, or checked, side
+    by side. Checks of single rows and row counts are counted in the pass that
+    writes their model; the others run beside further writes. A failed error
+    check, or an exception while writing, marks its model as failed and
+    everything downstream of it as skipped; unrelated models go on, and what an
+    earlier build has published of a failed write stays in place. Only check
+    results, one row per declared check, come to the driver.
     """
     m = Models(raw, params)
-    tables = ModelTables(m)
+    declared = checks if checks is not None else [*declared_checks(m.params), *location_checks()]
     selected = with_ancestors(only) if only else set(PARENTS)
-    pending = list(checks if checks is not None else [*declared_checks(m.params), *location_checks()])
-    ready, report = set(raw), BuildReport()
-
-    def run_ready_checks() -> None:
-        due = [c for c in pending if _tables_of(c) <= ready]
-        for check in due:
-            pending.remove(check)
-        if due:
-            for row in blocking(evaluate(tables, due)).collect():
-                report.results.append(row.asDict())
-                if row.blocks and row.model not in report.failed:
-                    report.failed.append(row.model)
-
-    run_ready_checks()
+    run = _Run(m, lake, list(declared), raw)
     waiting = [model for model in PARENTS if model in selected]
     with ThreadPoolExecutor(threads) as pool:
-        running: dict[Future, str] = {}
-        while waiting or running:
+        writing: dict[Future, str] = {}
+        checking: dict[Future, list[Check]] = {}
+
+        def check_what_is_due() -> None:
+            if found := run.due():
+                run.checked_now += [c.model for c in found]
+                checking[pool.submit(run.evaluated, found)] = found
+
+        check_what_is_due()
+        while waiting or writing or checking:
             for model in list(waiting):
-                if any(p in report.failed or p in report.skipped for p in PARENTS[model]):
-                    report.skipped.append(model)
+                if run.stopped(model):
+                    run.report.skipped.append(model)
                     waiting.remove(model)
-                elif all(p in ready for p in PARENTS[model]) and len(running) < threads:
-                    running[pool.submit(write_model, model, getattr(m, model), lake)] = model
+                elif len(writing) < threads and run.may_start(model):
+                    writing[run.write(model, pool)] = model
                     waiting.remove(model)
-            for done in wait(running, return_when=FIRST_COMPLETED).done:
-                model = running.pop(done)
-                m.store(model, done.result())
-                report.built.append(model)
-                ready.add(model)
-            run_ready_checks()
-    report.built.sort(key=list(PARENTS).index)
-    return report
+            if not (writing or checking):
+                continue
+            for done in wait([*writing, *checking], return_when=FIRST_COMPLETED).done:
+                error = done.exception()
+                if done in checking:
+                    found = checking.pop(done)
+                    for check in found:
+                        run.checked_now.remove(check.model)
+                    if error is None:
+                        run.record(done.result())
+                    for check in found if error is not None else ():
+                        run.fail(check.model, error)
+                    continue
+                model = writing.pop(done)
+                if error is not None:
+                    run.fail(model, error)
+                    continue
+                stored, results = done.result()
+                m.store(model, stored)
+                run.report.built.append(model)
+                run.ready.add(model)
+                run.record(results)
+            check_what_is_due()
+    for group in (run.report.built, run.report.failed, run.report.skipped):
+        group.sort(key=lambda name: list(PARENTS).index(name) if name in PARENTS else -1)
+    return run.report
 
 
 def finished(raw: Mapping[str, DataFrame], lake: Lake, params: Params | None = None) -> Models:
@@ -172,10 +244,12 @@ def finished(raw: Mapping[str, DataFrame], lake: Lake, params: Params | None = N
     for model in PARENTS:
         if layer_of(model) != "staging":
             made = getattr(lazy, model)
-            read = lazy.spark.read.schema(_nullable(made.schema)).parquet(lake.path(layer_of(model), model))
-            stored[model] = read.select(*made.columns)
+            stored[model] = stored_model(lazy.spark, lake, model, made.schema)
     return Models(raw, params, stored)
 
 
-def _nullable(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, f.dataType, nullable=True) for f in schema.fields])
+def stored_model(spark: SparkSession, lake: Lake, model: str, schema: StructType | None = None) -> DataFrame:
+    """A model as a build last published it."""
+    path, day = lake.path(layer_of(model), model), PARTITIONED.get(model, (None,))[0]
+    nullable = None if schema is None else StructType([StructField(f.name, f.dataType, nullable=True) for f in schema.fields])
+    return versions.read(spark, path, nullable, day)

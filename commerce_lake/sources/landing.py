@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,6 @@ from commerce_lake.sources.contract import location, missing_files, refusing, sc
 from commerce_lake.sources.schema import RAW_TABLES, RawTable
 
 
-def prefix_of(zone: str, ingest_date: date) -> str:
-    return f"{zone.rstrip('/')}/{ingest_date.isoformat()}"
-
-
 def land(
     spark: SparkSession,
     incoming: str,
@@ -31,36 +28,52 @@ def land(
     Cells are copied as text with whatever columns the files have, as long as
     all parts of a table have the same; the contract is applied when the
     snapshot is loaded. Free text, which one task per file must read, lands in
-    parts of even size, so the load reads it with many. Repeating a date
-    replaces it.
+    parts of even size, so the load reads it with many. Every landing has a
+    folder of its own and is logged last: a refused one changes nothing, a
+    repeated date is replaced for those who ask for the date, and who reads the
+    earlier landing of that date goes on reading it.
     """
     absent = missing_files(spark, incoming, tables)
     if absent:
         raise FileNotFoundError(f"{incoming} lacks: {', '.join(absent)}")
-    prefix = prefix_of(zone, ingest_date)
+    prefix = f"{zone.rstrip('/')}/{ingest_date.isoformat()}/{uuid.uuid4().hex}"
     for table in tables.values():
         cells = scan_as_text(spark, incoming, table)
         if table.free_text:
             cells = cells.hint("rebalance")
         with refusing(table):
-            cells.write.mode("overwrite").options(
+            cells.write.options(
                 header="true", quoteAll="true", escape='"',
                 ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
             ).csv(location(prefix, table))
-    entry = [(ingest_date, landed_at, len(tables))]
-    log = spark.createDataFrame(entry, "ingest_date date, landed_at timestamp, files int")
+    entry = [(ingest_date, landed_at, len(tables), prefix, datetime.now(timezone.utc))]
+    log = spark.createDataFrame(
+        entry, "ingest_date date, landed_at timestamp, files int, prefix string, logged_at timestamp"
+    )
     log.write.mode("append").parquet(f"{zone.rstrip('/')}/_landings")
     return prefix
 
 
-def latest_prefix(spark: SparkSession, zone: str) -> str:
-    """Prefix of the most recent landing."""
+def _newest(spark: SparkSession, zone: str, ingest_date: date | None) -> str:
     try:
         log = spark.read.parquet(f"{zone.rstrip('/')}/_landings")
     except AnalysisException as error:
         raise LookupError(f"nothing has been landed in {zone}") from error
-    newest = log.agg(F.max_by("ingest_date", "landed_at").alias("d")).first()
-    return prefix_of(zone, newest.d)
+    asked = log if ingest_date is None else log.where(F.col("ingest_date") == F.lit(ingest_date))
+    newest = asked.agg(F.max_by("prefix", F.struct("landed_at", "logged_at"))).first()[0]
+    if newest is None:
+        raise LookupError(f"nothing has been landed in {zone} on {ingest_date}")
+    return newest
+
+
+def latest_prefix(spark: SparkSession, zone: str) -> str:
+    """Prefix of the most recent landing."""
+    return _newest(spark, zone, None)
+
+
+def prefix_on(spark: SparkSession, zone: str, ingest_date: date) -> str:
+    """Prefix of the most recent landing of a date."""
+    return _newest(spark, zone, ingest_date)
 
 
 def load(
@@ -79,16 +92,17 @@ def load(
     """
     scanned = scan_all(spark, prefix, tables)
     number = 1 + max((r.number for r in _logged(spark, target)), default=0)
-    folder = f"{target.rstrip('/')}/load-{number:06d}"
+    folder = f"{target.rstrip('/')}/load-{number:06d}-{uuid.uuid4().hex}"
     for name, df in scanned.items():
         marked = df.withColumns(
             {"load_id": F.lit(load_id), "loaded_at": F.lit(loaded_at).cast("timestamp")}
         )
         with refusing(tables[name]):
-            marked.write.mode("overwrite").parquet(f"{folder}/{name}")
-    entry = [(number, load_id, prefix, folder, loaded_at, len(scanned))]
+            marked.write.parquet(f"{folder}/{name}")
+    entry = [(number, load_id, prefix, folder, loaded_at, len(scanned), datetime.now(timezone.utc))]
     log = spark.createDataFrame(
-        entry, "number int, load_id string, prefix string, folder string, loaded_at timestamp, tables int"
+        entry,
+        "number int, load_id string, prefix string, folder string, loaded_at timestamp, tables int, logged_at timestamp",
     )
     log.write.mode("append").parquet(f"{target.rstrip('/')}/_loads")
     return read_raw(spark, target, tables)
@@ -111,7 +125,7 @@ def read_raw(
     log = _logged(spark, target)
     if not log:
         raise LookupError(f"nothing has been loaded into {target}")
-    folder = max(log, key=lambda r: r.number).folder
+    folder = max(log, key=lambda r: (r.number, r.logged_at)).folder  # loads at once share a number
     return {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from commerce_lake.sources import versions
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -44,10 +46,43 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="lake-")
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a table; running twice leaves one copy."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _nullable(schema: StructType) -> StructType:
+    copy = StructType.fromJson(schema.jsonValue())
+    for field in copy.fields:
+        field.nullable = True
+    return copy
+
+
+def _published(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+    """Read back with the types it was made with."""
+    return versions.read(df.sparkSession, path, _nullable(df.schema), day)
+
+
+def observed(df: DataFrame, watch: Mapping[str, Column] | None) -> tuple[DataFrame, Observation | None]:
+    """`df` with aggregates that its next action computes on the way."""
+    if not watch:
+        return df, None
+    watching = Observation()
+    return df.observe(watching, *[value.alias(name) for name, value in watch.items()]), watching
+
+
+def write_table(df: DataFrame, path: str, watch: Mapping[str, Column] | None = None, seen: dict | None = None) -> DataFrame:
+    """Replace a table; running twice leaves one copy, and readers see the one
+    before until the new one is whole. `watch` names aggregates to compute in
+    the pass that writes; their values go to `seen`."""
+    return _written(df, path, lambda rows, folder: rows.write.parquet(folder), watch, seen)
+
+
+def _written(
+    df: DataFrame, path: str, write: Callable[[DataFrame, str], None], watch: Mapping[str, Column] | None, seen: dict | None,
+    day: str | None = None,
+) -> DataFrame:
+    # Watched last, above any exchange: a range exchange runs what is below it twice.
+    rows, watching = observed(df, watch)
+    versions.publish(df.sparkSession, path, lambda folder: write(rows, folder))
+    if watching is not None and seen is not None:
+        seen.update(watching.get)
+    return _published(df, path, day)
 
 
 def _by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
@@ -60,44 +95,65 @@ def _by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *cluster)
 
 
-def write_partitioned(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> DataFrame:
+def write_partitioned(
+    df: DataFrame, path: str, day: str, cluster: Sequence[str],
+    watch: Mapping[str, Column] | None = None, seen: dict | None = None,
+) -> DataFrame:
     """One directory per day, rows sorted by the cluster columns inside, which
     gives Parquet tight minimum and maximum values per row group."""
-    _by_day(df, day, cluster).write.mode("overwrite").partitionBy(day).parquet(path)
-    return _read_partitioned(df, path)
+    write = lambda rows, folder: rows.write.partitionBy(day).parquet(folder)
+    return _written(_by_day(df, day, cluster), path, write, watch, seen, day)
 
 
-def replace_days(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> DataFrame:
-    """Replace only the days present in `df`; other days stay as they are."""
-    (
-        _by_day(df, day, cluster)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day).parquet(path)
-    )
-    return _read_partitioned(df, path)
+def replace_days(df: DataFrame, path: str, day: str, cluster: Sequence[str], days: Sequence[str | None] | None = None) -> DataFrame:
+    """Replace the days present in `df` (or the given ones); other days stay as they are, and where they are."""
+    spark, folder = df.sparkSession, versions.new_folder(path)
+    _by_day(df, day, cluster).write.partitionBy(day).parquet(folder)
+    if days is None:
+        made = spark.read.schema(_nullable(df.schema)).parquet(folder)
+        days = [r.day for r in made.select(F.col(day).cast("string").alias("day")).distinct().collect()]
+    versions.log(spark, path, folder, days)
+    return _published(df, path, day)
 
 
-def _read_partitioned(df: DataFrame, path: str) -> DataFrame:
-    """Read back with the declared types: a partition value is not guessed."""
-    nullable = StructType.fromJson(df.schema.jsonValue())
-    for field in nullable.fields:
-        field.nullable = True
-    return df.sparkSession.read.schema(nullable).parquet(path).select(*df.columns)
-
+def refresh_days(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> list[str | None]:
+    """Bring a table of days to the rows of `df`, writing only days that differ.
 
-def write_clustered(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    Digests of the days are kept beside the table; those of `df` take one pass
+    and a row per day. Returns the days that were written or removed.
+    """
+    spark, digests = df.sparkSession, f"{path.rstrip('/')}/_digests"
+    new = versions.day_digests(df, day)
+    folder = versions.publish(spark, digests + "-next", new.write.parquet)
+    new = spark.read.schema(versions.DIGESTS).parquet(folder)
+    try:
+        old = versions.read(spark, digests, StructType.fromDDL(versions.DIGESTS))
+    except LookupError:
+        write_partitioned(df, path, day, cluster)
+        versions.log(spark, digests, folder)
+        return [r.day for r in new.select("day").collect()]
+    days = versions.changed_days(old, new)
+    if days:
+        replace_days(df.where(versions.is_one_of(F.col(day), set(days))), path, day, cluster, days)
+        versions.log(spark, digests, folder)
+    return days
+
+
+def write_clustered(
+    df: DataFrame, path: str, keys: Sequence[str], watch: Mapping[str, Column] | None = None, seen: dict | None = None
+) -> DataFrame:
     """Range-split and sorted on `keys`, so that a lookup reads few row groups.
 
     `keys` should end in a column that separates rows of one large key.
     """
     ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return write_table(ordered, path)
+    return write_table(ordered, path, watch, seen)
 
 
 def publish(df: DataFrame, path: str, allow_replace: bool = False) -> bool:
-    """Overwrite a shared table only when asked to; says whether it did."""
+    """Replace a shared table only when asked to; says whether it did."""
     if allow_replace:
-        df.write.mode("overwrite").parquet(path)
+        write_table(df, path)
     return allow_replace
 
 

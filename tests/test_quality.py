@@ -1,3 +1,4 @@
+import importlib
 from collections import Counter
 from datetime import date, datetime
 
@@ -6,13 +7,15 @@ from pyspark.sql import functions as F
 
 from commerce_lake.operators.checks import Check, blocking, duplicate_keys, evaluate, freshness, orphans
 from commerce_lake.plans import analytics
-from commerce_lake.plans.build import PARENTS, build, finished, with_ancestors
+from commerce_lake.plans.build import PARENTS, build, finished, stored_model, with_ancestors
 from commerce_lake.plans.models import Models
-from commerce_lake.plans.quality import ModelTables, declared_checks, run_checks
+from commerce_lake.plans.quality import ModelTables, declared_checks, location_checks, run_checks
 from commerce_lake.params import Params
 from commerce_lake.sources import landing
 from commerce_lake.sources.storage import Lake
 
+build_module = importlib.import_module("commerce_lake.plans.build")
+
 
 def test_79_declared_checks():
     checks = declared_checks(Params())
@@ -113,9 +116,9 @@ def test_full_build_writes_marts_and_keeps_warnings_visible(spark, raw, params,
     assert {w["model"] for w in report.warnings} == {"int_order_lifecycle", "fct_payments"}
     for name in ("fct_orders", "fct_order_items", "fct_reviews", "fct_payments", "dim_customer", "dim_seller"):
         lazy = getattr(models, name)
-        stored = spark.read.schema(lazy.schema).parquet(lake.path("marts", name)).select(*lazy.columns)
+        stored = stored_model(spark, lake, name, lazy.schema)
         assert sorted(map(str, stored.collect())) == sorted(map(str, lazy.collect())), name
-    assert (tmp_path / "ci/marts/fct_orders/order_purchase_date=2017-01-01").is_dir()
+    assert list((tmp_path / "ci/marts/fct_orders").glob("v-*/order_purchase_date=2017-01-01"))
     opened = finished(raw, lake, params)
     assert opened.stored == {name for name in PARENTS if not name.startswith("stg_")}
     for analysis in (analytics.headline_metrics, analytics.top_cities, analytics.repeat_rate_by_first_category, analytics.city_tiers):
@@ -130,7 +133,7 @@ def test_landed_and_loaded_snapshot_builds_the_same_marts(spark, incoming, param
     report = build(loaded, Lake(str(tmp_path)), params)
     assert report.built == list(PARENTS)
     lazy = models.fct_orders
-    stored = spark.read.schema(lazy.schema).parquet(str(tmp_path / "dev/marts/fct_orders")).select(*lazy.columns)
+    stored = stored_model(spark, Lake(str(tmp_path)), "fct_orders", lazy.schema)
     assert sorted(map(str, stored.collect())) == sorted(map(str, lazy.collect()))
     again = Models(loaded, params)
     assert analytics.sla_sales(again).columns == analytics.sla_sales(models).columns
@@ -150,6 +153,33 @@ def test_failed_check_stops_only_its_own_subtree(spark, raw, params, tmp_path):
     assert not (tmp_path / "dev/marts/fct_payments").exists()
 
 
+def test_an_exception_while_writing_stops_only_its_own_subtree(spark, raw, params, tmp_path):
+    lake = Lake(str(tmp_path))
+    build(raw, lake, params, only=["fct_payments", "dim_seller"])
+    before = stored_model(spark, lake, "fct_payments").collect()
+    spoiled = dict(raw)
+    spoiled["order_payments"] = raw["order_payments"].withColumn("payment_value", F.raise_error(F.lit("lost")).cast("double"))
+    report = build(spoiled, lake, params)
+    assert "lost" in report.errors["fct_payments"] and "lost" in report.errors["int_order_payment_totals"]
+    assert {"fct_order_items", "fct_reviews", "dim_product", "dim_seller"} <= set(report.built)
+    assert {"fct_orders", "dim_customer"} <= set(report.skipped) | set(report.failed)
+    # Readers still see what the build before has published.
+    assert stored_model(spark, lake, "fct_payments").collect() == before
+
+
+def test_single_rows_are_checked_in_the_pass_that_writes(raw, params, tmp_path, monkeypatch):
+    asked = []
+    plain = build_module.evaluate
+    monkeypatch.setattr(build_module, "evaluate", lambda tables, checks: asked.extend(checks) or plain(tables, checks))
+    report = build(raw, Lake(str(tmp_path)), params)
+    assert len(report.results) == 81 and not report.failed
+    later = [c for c in asked if not c.model.startswith("stg_") and c.model in PARENTS]
+    assert {c.kind for c in later} == {"unique", "unique_combination", "relationships", "fewer_rows_than"}
+    counted = {(r["check_name"], r["model"], r["column_name"]): r["failures"] for r in report.results}
+    every = blocking(evaluate(ModelTables(Models(raw, params)), [*declared_checks(params), *location_checks()])).collect()
+    assert counted == {(r.check_name, r.model, r.column_name): r.failures for r in every}
+
+
 def test_partial_build(raw, params, tmp_path):
     report = build(raw, Lake(str(tmp_path)), params, only=["dim_seller"])
     assert report.built == ["stg_sellers", "stg_geolocation", "int_geolocation_deduped", "dim_seller"]

@@ -3,11 +3,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from commerce_lake.sources import landing
+from commerce_lake.sources import landing, versions
 from commerce_lake.sources.contract import ContractError, header_of, missing_files, scan, scan_all
 from commerce_lake.sources.schema import RAW_TABLES, DeclarationError, declare, with_file_prefix
 from commerce_lake.sources.storage import (
-    Lake, publish, replace_days, to_client, write_clustered, write_partitioned, write_table,
+    Lake, publish, refresh_days, replace_days, to_client, write_clustered, write_partitioned, write_table,
 )
 
 NOW = datetime(2024, 5, 1, 12)
@@ -162,10 +162,74 @@ def test_snapshots_replay_and_replace(spark, raw, incoming, tmp_path):
         assert loaded["customers"].count() == rows
         assert {r.load_id for r in loaded["customers"].select("load_id").distinct().collect()} == {load_id}
     assert sorted(r.load_id for r in landing.loads(spark, target).collect()) == ["a", "b", "c"]
-    # Repeating a date replaces that snapshot.
-    landing.land(spark, str(later), zone, date(2024, 5, 1), NOW.replace(hour=14), only)
-    assert scan(spark, first, RAW_TABLES["customers"]).count() == 2
-    assert landing.latest_prefix(spark, zone) == first
+    # Repeating a date replaces that snapshot for those who ask for the date.
+    again = landing.land(spark, str(later), zone, date(2024, 5, 1), NOW.replace(hour=14), only)
+    assert landing.prefix_on(spark, zone, date(2024, 5, 1)) == landing.latest_prefix(spark, zone) == again != first
+    assert scan(spark, again, RAW_TABLES["customers"]).count() == 2
+    assert scan(spark, first, RAW_TABLES["customers"]).count() == 8
+    with pytest.raises(LookupError, match="2024-05-03"):
+        landing.prefix_on(spark, zone, date(2024, 5, 3))
+
+
+def test_a_refused_landing_of_a_date_keeps_the_one_before(spark, raw, tmp_path):
+    only, zone = {"sellers": RAW_TABLES["sellers"]}, str(tmp_path / "zone")
+    _offer(raw["sellers"], tmp_path / "in", "sellers")
+    first = landing.land(spark, str(tmp_path / "in"), zone, date(2024, 5, 1), NOW, only)
+    (tmp_path / "in" / RAW_TABLES["sellers"].file / "part-99999.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ContractError):
+        landing.land(spark, str(tmp_path / "in"), zone, date(2024, 5, 1), NOW.replace(hour=15), only)
+    assert landing.prefix_on(spark, zone, date(2024, 5, 1)) == landing.latest_prefix(spark, zone) == first
+    assert scan(spark, first, RAW_TABLES["sellers"]).count() == raw["sellers"].count()
+
+
+def test_readers_see_one_version_until_the_next_is_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(LookupError):
+        versions.read(spark, path)
+    first = write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="broken"):
+        write_table(spark.range(9).where(F.raise_error(F.lit("broken")).isNull()), path)
+    assert versions.read(spark, path).count() == 5
+    write_table(spark.range(7), path)
+    # Who opened the table before goes on reading what was there then.
+    assert (first.count(), versions.read(spark, path).count(), versions.read(spark, path, back=1).count()) == (5, 7, 5)
+    write_table(spark.range(8), path)
+    assert len(versions.prune(spark, path, keep=2)) == 1
+    assert (versions.read(spark, path).count(), versions.read(spark, path, back=1).count()) == (8, 7)
+    assert len(list((tmp_path / "t").glob("v-*"))) == 3  # and the folder of the failed write, which no log names
+    assert len(versions.prune(spark, path)) == 2
+
+
+def _of_days(spark, rows):
+    return spark.createDataFrame(rows, "k long, day date, v string")
+
+
+def test_only_days_that_differ_are_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [date(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(k, [*days, None][k % 4], None if k % 5 == 0 else f"v{k}") for k in range(40)]
+    df = _of_days(spark, rows)
+    assert len(refresh_days(df, path, "day", ["k"])) == 4
+    assert refresh_days(df.repartition(7), path, "day", ["k"]) == []
+    one = [(k, d, "new" if k == 9 else v) for k, d, v in rows]
+    assert refresh_days(_of_days(spark, one), path, "day", ["k"]) == ["2024-01-02"]
+    written = sorted(p.name for f in (tmp_path / "t").glob("v-*") for p in f.glob("day=*"))
+    assert written.count("day=2024-01-02") == 2 and len(written) == 5
+    # A day goes, one comes, and rows of no day change.
+    other = [(k, date(2024, 1, 9) if d == days[0] else d, "x" if d is None else v) for k, d, v in one]
+    assert refresh_days(_of_days(spark, other), path, "day", ["k"]) == [None, "2024-01-01", "2024-01-09"]
+    stored = versions.read(spark, path, df.schema, "day")
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(other, key=str)
+    assert sorted(map(tuple, versions.read(spark, path, df.schema, "day", back=1).collect()), key=str) == sorted(one, key=str)
+    plan = stored.where(F.col("day") == days[1])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+
+def test_digests_ignore_order_and_see_copies(spark):
+    rows = [(1, date(2024, 1, 1), "a"), (2, date(2024, 1, 1), "b")]
+    digest = lambda r: versions.day_digests(_of_days(spark, r), "day").collect()
+    assert digest(rows) == digest(rows[::-1])
+    assert len({str(digest(r)) for r in (rows, rows * 3, [*rows, rows[0], rows[0]], [(1, rows[0][1], "b"), (2, rows[0][1], "a")])}) == 4
 
 
 def test_a_landed_extra_column_still_fails_the_load(spark, raw, tmp_path):
@@ -188,7 +252,7 @@ def test_partitioned_write_splits_a_hot_day(spark, tmp_path):
     stored = write_partitioned(df, path, "day", ["cluster"])
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert stored.schema["day"].dataType.simpleString() == "date" and stored.count() == 90_000
-    assert len(list((tmp_path / "t" / "day=2020-01-01").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "t").glob("v-*/day=2020-01-01/*.parquet"))) > 1
     fifth = F.col("day") == date(2020, 1, 6)
     plan = stored.where(fifth)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
