@@ -270,6 +270,12 @@ _ANALYSES = {
                    count(*) FILTER (orders = 1) AS one_order_cities, count(*) FILTER (orders <= 5) AS tail_cities,
                    coalesce(round(100.0::DOUBLE * ((sum(revenue) FILTER (orders <= 5))::DOUBLE / sum(revenue)::DOUBLE), 1), 0) AS tail_revenue_pct
             FROM city_ranks"""),
+    "W7b_running_share_of_all_cities": (
+        analytics.running_city_share,
+        """SELECT city, orders, round(revenue::DOUBLE) AS revenue,
+                  round(100.0::DOUBLE * ((sum(revenue) OVER (ORDER BY revenue DESC, city))::DOUBLE / total::DOUBLE), 2) AS cum_pct_revenue,
+                  (sum(orders) OVER (ORDER BY revenue DESC, city))::BIGINT AS orders_so_far
+           FROM city_ranks"""),
     "A3.4_city_tiers": (
         analytics.city_tiers,
         """SELECT tier, n AS n_cities, round(100.0::DOUBLE * (coalesce(r, 0)::DOUBLE / total::DOUBLE), 1) AS revenue_pct,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from commerce_lake.catalog.common import Query, over_models, with_views
+import uuid
+
+from commerce_lake.catalog.common import Query, models, over_models, plain, with_views
 from commerce_lake.catalog.views import VIEWS
-from commerce_lake.plans import analytics
+from commerce_lake.plans import analytics, colocated
+from commerce_lake.sources.storage import Lake, shared_folder
 
 _MONEY_TOTALS = (
     "payment_value_total", "item_price_total", "freight_value_total", "item_gross_total",
@@ -75,3 +78,22 @@ ORACLES["M28_sla_sales"] = with_views(
        JOIN raw_products p ON p.product_id = i.product_id
        WHERE order_delivered_customer_date <= order_estimated_delivery_date""",
 )
+
+
+def _by_order(build):
+    """Over orders, lines and payments that were stored in buckets of their order before."""
+
+    def run(spark, sf_dir):
+        m, lake = models(spark, sf_dir), Lake(f"{shared_folder(spark)}/catalog/by-order-{uuid.uuid4().hex}", "ci")
+        colocated.store_by_order(m, lake, buckets=8)
+        return plain(build(colocated.opened_by_order(m, lake)))
+
+    return run
+
+
+QUERIES["M12b_totals_without_a_shuffle"] = _by_order(lambda m: m.int_order_payment_totals)
+QUERIES["M18b_lines_without_a_shuffle"] = _by_order(lambda m: m.fct_order_items)
+QUERIES["M19b_orders_without_a_shuffle"] = _by_order(lambda m: m.fct_orders)
+ORACLES["M12b_totals_without_a_shuffle"] = ORACLES["M12_int_order_payment_totals"]
+ORACLES["M18b_lines_without_a_shuffle"] = ORACLES["M18_fct_order_items"]
+ORACLES["M19b_orders_without_a_shuffle"] = ORACLES["M19_fct_orders"]

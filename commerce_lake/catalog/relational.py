@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -11,11 +12,13 @@ from commerce_lake.bindings import TEST_PARAMS
 from commerce_lake.catalog.common import Registry
 from commerce_lake.functions import numbers
 from commerce_lake.functions.numbers import MONEY, mean, percent, percent_where
+from commerce_lake.operators.bitmaps import daily_bitmaps, distinct_ids
 from commerce_lake.operators.checks import orphans
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import grand_total, in_one_row, share_of_groups
 from commerce_lake.plans.marts import dim_date, spine_covering
+from commerce_lake.sources.storage import shared_folder, write_table
 
 registry = Registry()
 add = registry.add
@@ -361,6 +364,19 @@ def _(lineitem):
     return orders.join(states, "l_suppkey")
 
 
+@add("G10b_distinct_customers_of_quarters", "orders",
+     """SELECT year(o_orderdate)::INTEGER AS year, quarter(o_orderdate)::INTEGER AS quarter, count(DISTINCT o_custkey) AS customers,
+               count(DISTINCT o_orderdate) AS days FROM orders GROUP BY 1, 2""")
+def _(orders):
+    """Quarters from bitmaps of days: no order is read again for another range of days."""
+    daily = daily_bitmaps(orders, F.to_date("o_orderdate"), F.col("o_custkey"))
+    folder = f"{shared_folder(orders.sparkSession)}/catalog/bitmaps-{uuid.uuid4().hex}"
+    stored = write_table(daily, folder)
+    quarter = stored.select(F.year("day").alias("year"), F.quarter("day").alias("quarter"), "day", "bucket", "ids")
+    days = quarter.groupBy("year", "quarter").agg(F.countDistinct("day").alias("days"))
+    return distinct_ids(quarter, ["year", "quarter"], "customers").join(days, ["year", "quarter"])
+
+
 @add("G11_rounded_sum", "lineitem",
      f"SELECT l_shipdate, round(sum(l_extendedprice::{_M}), 0)::DOUBLE AS whole, round(sum(l_extendedprice::{_M}), 2)::DOUBLE AS cents FROM lineitem GROUP BY 1")
 def _(lineitem):

@@ -17,6 +17,7 @@ from commerce_lake.functions.numbers import (
 )
 from commerce_lake.functions.text import label_head, label_tail, place_label
 from commerce_lake.operators.percentiles import exact_percentiles
+from commerce_lake.operators.prefix import running_sums
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import (
     grand_total, in_one_row, running_share, share_of_groups,
@@ -552,6 +553,20 @@ def top_cities(m: Models) -> DataFrame:
     )
 
 
+def running_city_share(m: Models) -> DataFrame:
+    """Every city, by falling revenue, with the share of all revenue up to it.
+
+    Cities grow with the data, so the running sums are taken by ranges. Shares
+    are of exact sums and rounded last."""
+    cities = _cities(m).select("city", "orders", "exact")
+    summed = running_sums(cities, [F.desc("exact"), F.col("city")], {"so_far": "exact", "orders_so_far": "orders"})
+    total = cities.agg(F.sum("exact").alias("total")).scalar()
+    return summed.select(
+        "city", "orders", rounded("exact").alias("revenue"), percent(F.col("so_far"), total, 2).alias("cum_pct_revenue"),
+        "orders_so_far",
+    )
+
+
 def revenue_concentration(m: Models) -> DataFrame:
     """Share of the largest cities and size of the tail, in one row."""
     cities = _cities(m).select("city", "orders", F.col("exact").alias("revenue"))

@@ -1,3 +1,4 @@
+from datetime import date
 import random
 from decimal import Decimal
 
@@ -5,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from commerce_lake.operators.bitmaps import daily_bitmaps, distinct_ids
+from commerce_lake.operators.prefix import running_sums
 from commerce_lake.functions import dates, labels, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
@@ -94,3 +97,25 @@ def test_buckets_at_their_limits(spark):
 def test_tolerant_timestamp(spark):
     df = spark.createDataFrame([("2020-01-01 00:00:00",), ("soon",), (None,)], "s string")
     assert [r[0] is None for r in df.select(dates.tolerant_timestamp("s")).collect()] == [False, True, True]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, 3)], [(k, None if k % 11 == 0 else (k * 37) % 101, k % 3) for k in range(700)]])
+def test_running_sums(spark, rows):
+    df = spark.createDataFrame(rows, "k long, v long, _part_ long")
+    found = running_sums(df.repartition(6), [F.col("v").asc_nulls_last(), F.col("k")], {"so_far": "v", "n": "k"})
+    total, n, expected = None, None, []
+    for k, v, other in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0])):
+        total = total if v is None else (total or 0) + v
+        n = (n or 0) + k
+        expected.append((k, v, other, total, n))
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_bitmaps_merge_to_exact_distinct_counts(spark):
+    rows = [(date(2024, 1, 1 + k % 5), (k * k) % 90_001 - 1000 * (k % 2)) for k in range(4000)] + [(date(2024, 1, 1), None), (None, 7)]
+    rows += [(date(2024, 1, 3), 42)] * 3000  # a hot id
+    daily = daily_bitmaps(spark.createDataFrame(rows, "d date, id long"), F.col("d"), F.col("id"))
+    for days in ({1}, {1, 2}, {3, 4, 5}, {1, 2, 3, 4, 5}):
+        some = daily.where(F.dayofmonth("day").isin(*days)).withColumn("all", F.lit(1))
+        expected = len({i for d, i in rows if d and d.day in days and i is not None})
+        assert distinct_ids(some, ["all"], "n").first()["n"] == expected

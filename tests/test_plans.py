@@ -3,12 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from commerce_lake.catalog import all_queries
 from commerce_lake.catalog.common import models as bound_models
 from commerce_lake.functions.text import WHITE_SPACE
-from commerce_lake.plans import analytics
+from commerce_lake.operators.prefix import running_sums
+from commerce_lake.plans import analytics, colocated, quality
 from commerce_lake.plans.models import Models
+from commerce_lake.sources.storage import Lake
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +133,29 @@ def test_reference_checks_read_every_fact_once_for_all_its_keys(no_broadcasts):
     plan = final_plan(all_queries()["C3_relationships"](no_broadcasts, SF))
     # Lines are read as lines with three keys, as payments, and for customers' payments; reviews once.
     assert scans_of(plan, "events") == 1 and scans_of(plan, "lineitem") <= 3
+
+
+def test_stored_by_order_needs_no_shuffle(no_broadcasts, tmp_path):
+    m, lake = bound_models(no_broadcasts, SF), Lake(str(tmp_path), "ci")
+    colocated.store_by_order(m, lake, buckets=4)
+    opened = colocated.opened_by_order(m, lake)
+    for name in ("fct_order_items", "fct_orders", "int_order_payment_totals"):
+        plan = final_plan(getattr(opened, name))
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan, name
+        assert sorted(map(str, getattr(opened, name).collect())) == sorted(map(str, getattr(m, name).collect()))
+    assert quality.rollup_mismatches(opened).collect() == quality.rollup_mismatches(m).collect()
+    # One file a bucket, and a new version leaves those who read the old one alone.
+    assert len(list((tmp_path / "ci/by_order/stg_order_items").glob("v-*/*.parquet"))) == 4
+    before = opened.fct_order_items
+    fewer = m.stg_order_items.where(F.col("price") < 0)
+    assert colocated.write_bucketed(fewer, lake.path("by_order", "stg_order_items"), "order_id", 4).count() == 0
+    assert before.count() > 0 and colocated.opened_by_order(m, lake).fct_order_items.count() == 0
+
+
+def test_running_sums_hold_no_table_in_one_task(no_broadcasts):
+    df = no_broadcasts.range(0, 5000, 1, 8).select("id", (F.col("id") % 7).alias("v"))
+    summed = running_sums(df, [F.desc("v"), F.col("id")], {"so_far": "v"})
+    plan = final_plan(summed)
+    assert plan.count("Window") == 2 and "rangepartitioning" not in plan.split("FileScan")[0]
+    # The only window over all rows sees one row per partition.
+    assert plan.count("SinglePartition") == 1
