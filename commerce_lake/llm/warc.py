@@ -26,6 +26,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from commerce_lake.llm.common import with_text_columns
 
@@ -38,28 +39,61 @@ _LINES = frozenset(
     "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "li main nav ol option p pre section table tbody td tfoot th thead title tr ul".split()
 )
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<dark>script|style|noscript|template)\b[^<>]*>.*?(?:</(?P=dark)\s*>|\Z)|<(?P<name>/?[a-zA-Z][a-zA-Z0-9-]*)[^<>]*>|<[!?][^<>]*>",
+# One token a match: a comment, an element without readable text, a tag, a declaration.
+# Values in quotes may hold any character; an unclosed quote ends with its tag.
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+[^<>]*+"""
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<dark>script|style|noscript|template)\b{_ATTRIBUTES}>.*?(?:</(?P=dark)\s*>|\Z)"
+    rf"|<(?P<name>/?[a-zA-Z][a-zA-Z0-9-]*)(?P<attributes>{_ATTRIBUTES})>|<[!?][^<>]*>",
     re.S | re.I,
 )
-_TITLE = re.compile(r"<title\b[^<>]*>([^<]*)", re.I)
-_LANGUAGE = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"<>]*)\"|'([^'<>]*)'|([^\s\"'<>]+))", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
 _SPACE = re.compile(r"[^\S\n]+")
 
 
-def _broken(match: re.Match) -> str:
-    name = match["name"]
-    if name is None:
-        return " " if match["dark"] else ""
-    return "\n" if name.strip("/").lower() in _LINES else ""
-
-
-def plain_text(page: str) -> str:
-    """Readable text: one line per block element, no empty lines."""
-    text = html.unescape(_TAG.sub(_broken, page.replace("\n", " ")))
-    lines = (_SPACE.sub(" ", line).strip() for line in text.split("\n"))
-    return "\n".join(line for line in lines if line)
+def _attribute(attributes: str, wanted: str) -> str | None:
+    """Value of the first attribute of a name; None if there is none or it has no value."""
+    for found in _ATTRIBUTE.finditer(attributes):
+        name, *values = found.groups()
+        if name.lower() == wanted:
+            return next((html.unescape(v) for v in values if v is not None), None)
+    return None
+
+
+class Page:
+    """Readable text, links, title and language of a page, from one pass over its tokens.
+
+    Text has one line per block element and no empty lines. What lies in
+    comments and in elements without readable text gives nothing.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.links: list[str] = []
+        self.title: str | None = None
+        self.language: str | None = None
+        pieces, end, titled = [], 0, False
+        for token in _TOKEN.finditer(page):
+            between, end = page[end : token.start()], token.end()
+            pieces.append(between.replace("\n", " "))
+            if titled:
+                self.title, titled = html.unescape(between).strip(), False
+            name = (token["name"] or "").lower()
+            if token["dark"]:
+                pieces.append(" ")
+            elif name.strip("/") in _LINES:
+                pieces.append("\n")
+            if name == "a" and (href := _attribute(token["attributes"], "href")) is not None:
+                self.links.append(href)
+            elif name == "title" and self.title is None:
+                titled = True
+            elif name == "html" and self.language is None:
+                found = re.match(r"\s*([A-Za-z-]+)", _attribute(token["attributes"], "lang") or "")
+                self.language = found[1].lower() if found else None
+        pieces.append(page[end:].replace("\n", " "))
+        if titled:
+            self.title = html.unescape(page[end:]).strip()
+        lines = (_SPACE.sub(" ", line).strip() for line in html.unescape("".join(pieces)).split("\n"))
+        self.text = "\n".join(line for line in lines if line)
 
 
 def digest(data: bytes) -> str:
@@ -100,10 +134,8 @@ def derive_one(record_id: str, target: str, date: str, http: str, page: str) ->
     payload = page.encode()
     block, source = digest(http.encode() + payload), digest(payload)
     kinds = {kind: identifier(kind, record_id) for kind in ("metadata", "conversion")}
-    text = plain_text(page)
+    read = Page(page)
     status, headers = _headers(http)
-    links = [html.unescape(next(g for g in m.groups() if g is not None)) for m in _LINK.finditer(page)]
-    title, language = _TITLE.search(page), _LANGUAGE.search(page)
     described = {
         "source": {
             "WARC-Type": "response", "WARC-Record-ID": record_id, "WARC-Target-URI": target, "WARC-Date": date,
@@ -111,14 +143,14 @@ def derive_one(record_id: str, target: str, date: str, http: str, page: str) ->
         },
         "http": {"status": status, "headers": headers},
         "html": {
-            "title": html.unescape(title[1]).strip() if title else None, "language": language[1].lower() if language else None, "links": links,
+            "title": read.title, "language": read.language, "links": read.links,
         },
-        "text": {"WARC-Record-ID": kinds["conversion"], "characters": len(text)},
+        "text": {"WARC-Record-ID": kinds["conversion"], "characters": len(read.text)},
     }
     out = []
     for kind, content, body in (
         ("metadata", "application/json", json.dumps(described, ensure_ascii=False).encode()),
-        ("conversion", "text/plain; charset=utf-8", text.encode()),
+        ("conversion", "text/plain; charset=utf-8", read.text.encode()),
     ):
         header = {"WARC-Type": kind, "WARC-Record-ID": kinds[kind], "WARC-Refers-To": record_id}
         if kind == "metadata":
@@ -128,7 +160,7 @@ def derive_one(record_id: str, target: str, date: str, http: str, page: str) ->
         header |= {"WARC-Date": date, "WARC-Payload-Digest": digest(body), "X-Source-Payload-Digest": source, "Content-Type": content}
         out.append({
             "kind": kind, "record_id": kinds[kind], "refers_to": record_id, "concurrent_to": header.get("WARC-Concurrent-To"),
-            "source_digest": source, "block_digest": digest(body), "content_length": len(body), "n_links": len(links),
+            "source_digest": source, "block_digest": digest(body), "content_length": len(body), "n_links": len(read.links),
             "record": record(header, body),
         })
     return out
@@ -152,7 +184,8 @@ def derive(source: DataFrame) -> DataFrame:
 
         return work
 
-    rest = [c for c in source.columns if c not in ("record_id", "http", "payload")]
+    taken = {"record_id", "http", "payload", *StructType.fromDDL(f"r {RECORDS}")["r"].dataType.elementType.names}
+    rest = [c for c in source.columns if c.lower() not in taken]
     rows = with_text_columns(source.select(*rest, packed.alias("_packed")), "_packed", make, f"_records {RECORDS}", drop_text=True)
     return rows.select(*rest, F.explode("_records").alias("_record")).select(*rest, "_record.*")
 

@@ -264,10 +264,41 @@ def _parsed(page: str) -> tuple[str, list[str]]:
 def test_plain_text_equals_the_standard_parser(spark):
     for row in spark.read.parquet(f"{SF}/pages.parquet").collect():
         text, links = _parsed(row["html"] or "")
-        lines = (" ".join(line.split()) for line in warc.plain_text(row["html"] or "").split("\n"))
+        lines = (" ".join(line.split()) for line in warc.Page(row["html"] or "").text.split("\n"))
         assert "\n".join(lines) == text
 
 
+def test_made_up_pages_equal_the_standard_parser():
+    """Quoted values with any character, links and tags where none counts, titles and languages."""
+    pick = random.Random(4)
+    inside = ["x", "1>0", "a<b", "</p>", "<a href=q>", "it's", "?a=1&amp;b=2", " ", "é", "-->"]
+    attribute = lambda: pick.choice(
+        [f'title="{pick.choice(inside)}"', f"data-x = '{pick.choice([i for i in inside if chr(39) not in i])}'", "hidden", "class=a/b"]
+    )
+    link = lambda: f"<a {attribute()} href={pick.choice(['u', chr(34) + pick.choice(inside) + chr(34), chr(39) + '/p?q' + chr(39)])} {attribute()}>"
+    for _ in range(400):
+        parts = []
+        for _ in range(pick.randint(1, 25)):
+            parts.append(pick.choice([
+                link, lambda: "</a>", lambda: f"<p {attribute()}>", lambda: "</P>", lambda: f"<b {attribute()}>", lambda: "<br/>",
+                lambda: "word ", lambda: "&lt;i&gt; &amp; ", lambda: "\n", lambda: "<!-- <a href='c'> <p> -->", lambda: "<!DOCTYPE html>",
+                lambda: f"<script {attribute()}>var a = \"<a href='s'>\" < 3;</script>", lambda: "<style>p > a { }</style>",
+            ])())
+        page = "".join(parts)
+        text, links = _parsed(page)
+        read = warc.Page(page)
+        assert "\n".join(" ".join(line.split()) for line in read.text.split("\n")) == text, page
+        assert read.links == links, page
+    read = warc.Page("<script>'<title>no</title>'</script><HTML data-lang=xx LANG='pt-BR'><title lang=de>A &lt; B\n</title><title>C</title>")
+    assert (read.title, read.language, read.text) == ("A < B", "pt-br", "A < B\nC")
+
+
+@pytest.mark.parametrize("piece", ['<a href="', '<p "', "<", "<!--", "<script>", "</", '<a x="1" ', "<a '><b \""])
+def test_broken_pages_end(piece):
+    read = warc.Page(piece * 20_000)
+    assert len(read.text) <= len(piece) * 20_000
+
+
 def _records(data: bytes) -> list[tuple[dict, bytes]]:
     out = []
     while data:
@@ -286,7 +317,9 @@ def test_archive_round_trip(spark, tmp_path):
     pages = [(1, "http://a.example/", "<html lang='EN'><title>T &amp; U</title><p>one<p>two\r\n\r\nthree<a href='/x?a=1&amp;b=2'>l</a>"), (2, None, None), (3, "u", ""), (1, "http://a.example/", "<p>é"), (4, "v", "<script>x"), (4, "v", "<script>x")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     responses = warc.responses(df)
-    derived = warc.derive(responses.withColumn("kind", F.lit("clash")).drop("kind"))
+    clashing = responses.withColumn("kind", F.lit("clash")).withColumn("record", F.lit(1)).withColumn("source_digest", F.lit(2)).withColumn("own", F.lit(3))
+    derived = warc.derive(clashing)
+    assert len(set(derived.columns)) == len(derived.columns) and derived.filter("own = 3 AND kind <> 'clash'").count() == 12
     warc.write(derived, f"{tmp_path}/out")
     found = [r for f in Path(f"{tmp_path}/out").glob("*.gz") for r in _records(gzip.decompress(f.read_bytes()))]
     assert len(found) == 12
@@ -314,7 +347,7 @@ def test_archive_query(spark):
     for r in rows:
         assert r["source_digest"] == warc.digest(pages[r["page_id"]].encode())
         if r["kind"] == "conversion":
-            assert r["block_digest"] == warc.digest(warc.plain_text(pages[r["page_id"]]).encode())
+            assert r["block_digest"] == warc.digest(warc.Page(pages[r["page_id"]]).text.encode())
 
 
 @pytest.fixture(scope="module")
