@@ -174,18 +174,18 @@ def requests(blocks: DataFrame, bits: int, plan: Plan, whole: bool) -> DataFrame
                 held = block.counts(fold == plan.held).astype("<u4")
             else:
                 kept = held = np.zeros(len(block.keys), "<u4")
-            cuts = np.searchsorted(block.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
-            for bucket, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(block.keys)], strict=True)):
-                if a < b:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([bucket], pa.int32()), pa.array([row["block"]], pa.int64()),
-                            pa.array([_squeeze_sorted(block.keys[a:b])], pa.binary()),
-                            pa.array([_squeeze(kept[a:b])], pa.binary()), pa.array([_squeeze(held[a:b])], pa.binary()),
-                            pa.array([whole]),
-                        ],
-                        names=["bucket", "block", "keys", "kept", "held", "whole"],
-                    )
+            # Only ranges that hold a key of the block: with many blocks and ranges most are empty.
+            occupied, starts = np.unique(block.keys >> np.uint64(64 - bits), return_index=True)
+            for bucket, a, b in zip(occupied.tolist(), starts, [*starts[1:], len(block.keys)], strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket], pa.int32()), pa.array([row["block"]], pa.int64()),
+                        pa.array([_squeeze_sorted(block.keys[a:b])], pa.binary()),
+                        pa.array([_squeeze(kept[a:b])], pa.binary()), pa.array([_squeeze(held[a:b])], pa.binary()),
+                        pa.array([whole]),
+                    ],
+                    names=["bucket", "block", "keys", "kept", "held", "whole"],
+                )
 
     return blocks.select("block", "folds", "lengths", "words", "tokens").mapInArrow(run, REQUESTS)
 
