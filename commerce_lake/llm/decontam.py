@@ -17,8 +17,9 @@ and verification read a small table.
 
 Defined results: null and empty texts have no words and no hits; items
 without words never occur; equal windows of several items count for each
-item; repeated rows of one doc_id each carry the hits of that id; items with
-a null id count but cannot be listed. Further columns are not read.
+item; in `find` repeated rows of one doc_id each carry the hits of that id, in
+`find_in_rows` those of their own text; items with a null id count but cannot
+be listed. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -158,3 +159,11 @@ def find(
             F.coalesce("item_ids", F.expr("cast(array() AS array<string>)")).alias("item_ids"),
         )
     )
+
+
+def find_in_rows(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **more) -> DataFrame:
+    """As `find`, but rows of one id are told apart by their texts, so each has
+    the hits of its own text, rows of a null id too."""
+    rows = documents.select(F.struct(F.col(key).alias("id"), F.xxhash64(text).alias("hash")).alias("row"), F.col(text).alias("text"))
+    found = find(rows, benchmark, key="row", text="text", **more)
+    return found.select(F.col("row.id").alias(key), *[c for c in found.columns if c != "row"])

@@ -73,7 +73,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.find(
+    found = decontam.find_in_rows(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
     )
     return found.select(

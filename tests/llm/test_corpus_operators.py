@@ -95,8 +95,19 @@ def test_containment(spark, documents):
     assert decontam.find(docs.limit(0), none).collect() == []
 
 
+def test_containment_tells_rows_of_one_id_apart(spark):
+    leak = " ".join(WORDS[:12])
+    rows = [(1, leak), (1, "clean words only"), (1, leak), (None, leak), (None, "clean"), (2, None), (2, f"{leak} {leak}")]
+    items = spark.createDataFrame([(7, leak)], "item_id long, text string")
+    found = decontam.find_in_rows(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "item_ids"]
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["item_ids"])) for r in found.collect()) == Counter({
+        (1, 12, 12, ("7",)): 2, (1, 3, 0, ()): 1, (None, 12, 12, ("7",)): 1, (None, 1, 0, ()): 1, (2, 0, 0, ()): 1, (2, 24, 24, ("7",)): 1,
+    })
+
+
 def test_containment_runs_no_python(spark):
-    plan = decontam.find(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    plan = decontam.find_in_rows(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
     text = plan._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text
 
