@@ -2,6 +2,11 @@ from datetime import date
 from decimal import Decimal
 
 from conftest import rows_by
+from pyspark.sql import functions as F
+
+from commerce_lake.plans import history
+from commerce_lake.plans.models import Models
+from commerce_lake.sources.storage import Lake
 
 
 def test_staging_cleans_text_and_keeps_codes(models):
@@ -107,3 +112,23 @@ def test_location_models(models):
     sellers = models.mart_seller_by_location.collect()
     assert [r.seller_id for r in sellers] == ["s1", "s1"]
     assert sellers[0].total_revenue_Brazilian_Real == Decimal("200.00")
+
+
+def test_histories_fold_forward(spark, raw, params, tmp_path):
+    lake = Lake(str(tmp_path), "ci")
+    m = Models(raw, params)
+    rows = lambda df: sorted(map(str, df.select(*m.int_customer_order_history.columns).collect()))
+    assert rows(history.store(m, lake)) == rows(m.int_customer_order_history)
+    # One order is cancelled, one disappears.
+    month = history.month_of(F.col("order_purchase_timestamp")).cast("string").alias("month")
+    every = [r.month for r in m.stg_orders.select(month).distinct().collect()]
+    touched = [r.month for r in m.stg_orders.where("order_id IN ('o1', 'o2')").select(month).distinct().collect()]
+    changed = dict(raw)
+    changed["orders"] = raw["orders"].where("order_id <> 'o1'").withColumn(
+        "order_status", F.when(F.col("order_id") == "o2", "canceled").otherwise(F.col("order_status"))
+    )
+    after = Models(changed, params)
+    files = lambda: [p.name for f in (tmp_path / "ci/intermediate/customer_months").glob("v-*") for p in f.glob("purchase_month=*")]
+    before = files()
+    assert rows(history.fold_in(after, lake, touched)) == rows(after.int_customer_order_history) != rows(m.int_customer_order_history)
+    assert 0 < len(files()) - len(before) <= len(touched) < len(every)
