@@ -17,6 +17,7 @@ from commerce_lake.operators.checks import orphans
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import grand_total, in_one_row, share_of_groups
+from commerce_lake.operators.sketches import digit_counts, merged, quantile_bounds
 from commerce_lake.plans.marts import dim_date, spine_covering
 from commerce_lake.sources.storage import shared_folder, write_table
 
@@ -416,23 +417,47 @@ def _(lineitem):
     return exact_percentiles(lineitem, ["l_returnflag"], "l_extendedprice", points, 500.0, interpolate=False)
 
 
-@add("G15b_approximate_profile", "lineitem",
-     "SELECT l_returnflag, p::DOUBLE AS p, abs(count(*) FILTER (l_extendedprice <= q) - p * count(*)) <= 0.01 * count(*) AS close "
-     "FROM lineitem JOIN (SELECT l_returnflag, unnest([0.1, 0.5, 0.9]) AS p, unnest(quantile_disc(l_extendedprice, [0.1, 0.5, 0.9])) AS q "
-     "FROM lineitem GROUP BY 1) USING (l_returnflag) GROUP BY l_returnflag, p, q")
+def _digit_bounds(lines: str, points: tuple[float, ...]) -> str:
+    """Bounds of quantiles of the price in cents, from buckets of three leading digits."""
+    return f"""
+      FROM (SELECT l_returnflag, low, high, count(*) AS n, sum(count(*)) OVER (PARTITION BY l_returnflag ORDER BY low)::BIGINT AS rank_high,
+                   sum(count(*)) OVER (PARTITION BY l_returnflag)::BIGINT AS total
+            FROM (SELECT l_returnflag, cents // step * step AS low, cents // step * step + step - 1 AS high
+                  FROM (SELECT l_returnflag, cents, (10 ** greatest(length(cents::VARCHAR) - 3, 0))::BIGINT AS step
+                        FROM (SELECT l_returnflag, (l_extendedprice::{_M} * 100)::BIGINT AS cents FROM {lines})))
+            GROUP BY l_returnflag, low, high)
+      JOIN (SELECT unnest({list(points)}::DECIMAL(10,9)[]) AS p) ON greatest(ceil(p * total), 1) BETWEEN rank_high - n + 1 AND rank_high"""
+
+
+_BOUNDS = "l_returnflag, p::DOUBLE AS p, low, high, rank_high - n + 1 AS rank_low, rank_high, total"
+_PROFILE = (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+def _cents(name: str):
+    return (F.col(name).cast(MONEY) * 100).cast("long")
+
+
+@add("G15b_approximate_profile", "lineitem", f"SELECT {_BOUNDS} {_digit_bounds('lineitem', _PROFILE)}")
+def _(lineitem):
+    """One pass and a sketch of bounded size: values within 1 %, with the ranks they have."""
+    return quantile_bounds(digit_counts(lineitem, ["l_returnflag"], _cents("l_extendedprice")), ["l_returnflag"], _PROFILE)
+
+
+@add("G15c_profile_of_stored_days", "lineitem",
+     f"SELECT 'all' AS days, {_BOUNDS} {_digit_bounds('lineitem', _PROFILE)} UNION ALL "
+     f"SELECT '1996', {_BOUNDS} {_digit_bounds('(SELECT * FROM lineitem WHERE year(l_shipdate) = 1996)', _PROFILE)}")
 def _(lineitem):
-    """One-pass sketch of bounded size. Its answers depend on how partial
-    sketches merge, so the query returns whether each lies within the promised
-    share of ranks, at any size."""
-    points = (0.1, 0.5, 0.9)
-    sketch = F.percentile_approx("l_extendedprice", F.array(*map(F.lit, points)), F.lit(1_000))
-    profile = lineitem.groupBy("l_returnflag").agg(sketch.alias("q"))
-    each = profile.select("l_returnflag", F.posexplode("q").alias("i", "q"))
-    ranks = lineitem.join(each, "l_returnflag").groupBy("l_returnflag", "i").agg(
-        F.count("*").alias("n"), F.count_if(F.col("l_extendedprice") <= F.col("q")).alias("found")
-    )
-    p = F.element_at(F.array(*map(F.lit, points)), F.col("i") + 1)
-    return ranks.select("l_returnflag", p.alias("p"), (F.abs(F.col("found") - p * F.col("n")) <= 0.01 * F.col("n")).alias("close"))
+    """Facts are read once, into a sketch per day; ranges of days are profiled from these."""
+    daily = digit_counts(
+        lineitem.withColumn("day", F.col("l_shipdate").cast("date")), ["day", "l_returnflag"], _cents("l_extendedprice")
+    )
+    stored = write_table(daily, f"{shared_folder(lineitem.sparkSession)}/catalog/daily-sketches-{uuid.uuid4().hex}")
+    ranges = {"all": stored, "1996": stored.where(F.year("day") == 1996)}
+    parts = [
+        quantile_bounds(merged(rows, ["l_returnflag"]), ["l_returnflag"], _PROFILE).select(F.lit(name).alias("days"), "*")
+        for name, rows in ranges.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @add("G16_series_quartiles", "lineitem",

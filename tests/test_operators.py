@@ -1,6 +1,8 @@
-from datetime import date
+import math
 import random
+from datetime import date
 from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,6 +14,7 @@ from commerce_lake.functions import dates, labels, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import grand_total, in_one_row, running_share, share_of_groups
+from commerce_lake.operators.sketches import digit_counts, merged, quantile_bounds
 
 POINTS = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1]
 
@@ -119,3 +122,35 @@ def test_bitmaps_merge_to_exact_distinct_counts(spark):
         some = daily.where(F.dayofmonth("day").isin(*days)).withColumn("all", F.lit(1))
         expected = len({i for d, i in rows if d and d.day in days and i is not None})
         assert distinct_ids(some, ["all"], "n").first()["n"] == expected
+
+
+def _exact(values, p):
+    return sorted(values)[max(math.ceil(Fraction(str(p)) * len(values)), 1) - 1]
+
+
+def test_sketch_bounds_hold_the_exact_quantiles(spark):
+    rng = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else rng.choice("abc"), i % 7, int(rng.gauss(0, 1) * 10 ** rng.randrange(12))) for i in range(4000)]
+    rows += [(None, 0, -1000), (None, 1, -999), (None, 2, 0), ("void", 1, None), ("big", 0, 2**63 - 1), ("big", 0, -(2**63))]
+    df = spark.createDataFrame(rows, "k string, day int, v long")
+    points = [0, 0.01, 0.25, 0.5, 0.9, 1]
+    daily = digit_counts(df, ["day", "k"], F.col("v"))
+    found = quantile_bounds(merged(daily, ["k"]), ["k"], points).collect()
+    once = quantile_bounds(digit_counts(df, ["k"], F.col("v")), ["k"], points).collect()
+    assert sorted(found, key=str) == sorted(once, key=str)
+    groups = {}
+    for k, _, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert {(r.k, r.p) for r in found} == {(k, float(p)) for k in groups for p in points}
+    for r in found:
+        values = groups[r.k]
+        assert r.low <= _exact(values, r.p) <= r.high and r.total == len(values)
+        # The ranks are those of the values between the bounds, no others.
+        assert r.rank_low == 1 + sum(v < r.low for v in values) and r.rank_high == sum(v <= r.high for v in values)
+        assert r.high - r.low <= max(abs(r.low), abs(r.high)) / 100
+
+
+def test_sketch_of_no_values(spark):
+    df = spark.createDataFrame([("a", None)], "k string, v long")
+    assert quantile_bounds(digit_counts(df, ["k"], F.col("v")), ["k"], [0.5]).count() == 0
