@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commerce_lake.bindings import TEST_PARAMS, raw_tables
+from commerce_lake.bindings import TEST_PARAMS, raw_tables, read
 from commerce_lake.catalog.common import Query, over_models, over_tables, with_views
 from commerce_lake.catalog.views import VIEWS
 from commerce_lake.operators.checks import Check, blocking, evaluate, freshness
@@ -210,6 +210,30 @@ def finished_tables(spark: SparkSession, lake: Lake, report: BuildReport) -> dic
     return {m: stored_model(spark, lake, m) for m in report.built if layer_of(m) != "staging"}
 
 
+def _fresh_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build from loads that are fresh, late, or too old as of three moments:
+    the last writes nothing. One row per moment: models written, rows of one."""
+    raw, events = raw_tables(spark, sf_dir), read(spark, sf_dir, "events")
+    newest = events.agg(F.max("ts")).first()[0]
+    rows = None
+    for moment, hours in (("fresh", 35), ("late", 37), ("old", 73)):
+        lake = Lake(f"{shared_folder(spark)}/catalog/C12-{uuid.uuid4().hex}", moment)
+        age = freshness(events, "ts", newest + timedelta(hours=hours))
+        report = build(raw, lake, TEST_PARAMS, only=["dim_seller"], checks=[], age=age)
+        marts = finished_tables(spark, lake, report)
+        found = marts["dim_seller"] if "dim_seller" in marts else raw["sellers"].where("false")
+        one = found.agg(F.count("*").alias("sellers")).select(
+            F.lit(moment).alias("moment"), F.lit(len(report.built)).alias("built"), F.lit(len(report.warnings)).alias("warnings"), "sellers"
+        )
+        rows = one if rows is None else rows.unionAll(one)
+    return rows
+
+
+QUERIES["C12b_gate_on_freshness"] = _fresh_build
+ORACLES["C12b_gate_on_freshness"] = """
+    SELECT 'fresh' AS moment, 4 AS built, 0 AS warnings, count(*) AS sellers FROM supplier
+    UNION ALL SELECT 'late', 4, 1, count(*) FROM supplier UNION ALL SELECT 'old', 0, 0, 0"""
+
 _BUILT_VIEW = {
     "dim_date": "(SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)))",
     "geo_dim_geolocation": "geo_zip", "fact_sale_order_location": "geo_sales",

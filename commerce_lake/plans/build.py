@@ -7,9 +7,10 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from commerce_lake.operators.checks import Check, blocking, evaluate, failures, result_of
+from commerce_lake.operators.checks import ERROR, Check, blocking, evaluate, failures, result_of
 from commerce_lake.params import Params
 from commerce_lake.plans.models import Models
 from commerce_lake.plans.quality import ModelTables, declared_checks, location_checks
@@ -167,6 +168,16 @@ class _Run:
         return [row.asDict() for row in blocking(evaluate(self.tables, checks)).collect()]
 
 
+def load_results(age: DataFrame) -> list[dict]:
+    """Freshness of loads as check results; no load at all is too old."""
+    found = age.groupBy("status").agg(F.count("*").alias("n")).collect()  # three rows at most
+    late = {r.status: r.n for r in found if r.status != "pass"}
+    if not found:
+        late = {ERROR: 1}
+    counts = late or {ERROR: 0}
+    return [result_of(Check("freshness", "loads", ("loaded_at",), severity=s), n) for s, n in sorted(counts.items())]
+
+
 def build(
     raw: Mapping[str, DataFrame],
     lake: Lake,
@@ -174,6 +185,7 @@ def build(
     only: list[str] | None = None,
     checks: list[Check] | None = None,
     threads: int = 4,
+    age: DataFrame | None = None,
 ) -> BuildReport:
     """Write every model, running each check once the tables it names are there.
 
@@ -184,12 +196,21 @@ def build(
     everything downstream of it as skipped; unrelated models go on, and what an
     earlier build has published of a failed write stays in place. Only check
     results, one row per declared check, come to the driver.
+
+    `age` is the freshness of what is built from (`landing.load_freshness`, or
+    `operators.checks.freshness` of any tables): one of status error, or none at
+    all, skips every model before anything is written, and what stands stays.
     """
+    fresh = load_results(age) if age is not None else []
     m = Models(raw, params)
     declared = checks if checks is not None else [*declared_checks(m.params), *location_checks()]
     selected = with_ancestors(only) if only else set(PARENTS)
     run = _Run(m, lake, list(declared), raw)
     waiting = [model for model in PARENTS if model in selected]
+    run.record(fresh)
+    if "loads" in run.report.failed:
+        run.report.skipped = waiting
+        return run.report
     with ThreadPoolExecutor(threads) as pool:
         writing: dict[Future, str] = {}
         checking: dict[Future, list[Check]] = {}

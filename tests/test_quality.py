@@ -188,3 +188,32 @@ def test_partial_build(raw, params, tmp_path):
 def test_model_tables_prefer_raw_names(models):
     tables = ModelTables(models)
     assert tables["orders"] is models.raw["orders"] and tables["dim_seller"] is models.dim_seller
+
+
+def test_an_old_load_gates_the_build(spark, raw, params, tmp_path):
+    loaded = spark.createDataFrame([("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 3))], "source string, loaded_at timestamp")
+    lake = Lake(str(tmp_path))
+
+    def built(hour, df=loaded, keys=()):
+        return build(raw, lake, params, only=["dim_seller"], age=freshness(df, "loaded_at", datetime(2024, 1, 4, hour), keys))
+
+    fresh = built(0)
+    assert "dim_seller" in fresh.built and [r["passed"] for r in fresh.results if r["model"] == "loads"] == [True]
+    before = stored_model(spark, lake, "dim_seller").inputFiles()
+    # Per source the older one is beyond 72 hours; then nothing is written, and what stands stays.
+    for late in (built(1, keys=["source"]), built(0, loaded.where("false"), keys=["source"]), built(0, loaded.where("false"))):
+        assert not late.built and late.failed == ["loads"] and "dim_seller" in late.skipped
+        assert stored_model(spark, lake, "dim_seller").inputFiles() == before
+    # A day and a half is a warning, which is visible and stops nothing.
+    warned = built(23)
+    assert "dim_seller" in warned.built and [r["check_name"] for r in warned.warnings] == ["freshness"]
+
+
+def test_a_build_from_the_last_load_knows_its_age(spark, incoming, params, tmp_path):
+    only = {"sellers", "geolocation"}
+    stamp = datetime(2024, 5, 1)
+    landing.load(spark, str(incoming), str(tmp_path / "raw"), "first", stamp)
+    age = lambda day: landing.load_freshness(spark, str(tmp_path / "raw"), stamp.replace(day=day))
+    tables = {t: df for t, df in landing.read_raw(spark, str(tmp_path / "raw")).items() if t in only}
+    assert build(tables, Lake(str(tmp_path)), params, only=["dim_seller"], checks=[], age=age(5)).built == []
+    assert "dim_seller" in build(tables, Lake(str(tmp_path)), params, only=["dim_seller"], checks=[], age=age(2)).built
