@@ -22,11 +22,13 @@ from commerce_lake.plans import analytics
 from commerce_lake.plans.marts import spine_covering
 from commerce_lake.sources import landing, versions
 from commerce_lake.sources.contract import ContractError, location, missing_files, refusing, scan
+from commerce_lake.sources.findings import findings
 from commerce_lake.sources.schema import RAW_TABLES
 from commerce_lake.sources.storage import (
     Lake, publish, refresh_days, replace_days, shared_folder, to_client, write_clustered, write_json_records,
     write_partitioned, write_table,
 )
+from commerce_lake.sources.zorder import write_zordered
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -202,6 +204,26 @@ def _(spark, sf_dir, folder):
     )
 
 
+@_add("S4b_refusal_report", """
+    SELECT 'order_items' AS table, 'type' AS problem, 'price' AS "column", 'fifty-eight' AS value, count(*) AS n FROM stg_order_items WHERE order_item_id % 3 = 0
+    UNION ALL SELECT 'order_items', 'type', 'order_item_id', 'one', count(*) FROM stg_order_items WHERE order_item_id % 2 = 0
+    UNION ALL SELECT 'sellers', 'header: undeclared columns', 'loyalty_tier', NULL, 1""")
+def _(spark, sf_dir, folder):
+    """Every refused cell and part of a snapshot, counted; clean parts and rows give none."""
+    tables = raw_tables(spark, sf_dir)
+    items, sellers = tables["order_items"], tables["sellers"]
+    line = F.col("order_item_id")
+    spoiled = items.withColumns({
+        "price": F.when(line % 3 == 0, "fifty-eight").otherwise(F.col("price").cast("string")),
+        "order_item_id": F.when(line % 2 == 0, "one").otherwise(line.cast("string")),
+    })
+    _offer(spoiled, folder, "order_items")
+    _offer(sellers, folder, "sellers")
+    _append(sellers.limit(3).withColumn("loyalty_tier", F.lit("gold")), folder, "sellers")
+    found = findings(spark, folder, {name: RAW_TABLES[name] for name in ("order_items", "sellers")})
+    return _count_by(found, "table", "problem", "column", "value")
+
+
 @_add("S5_all_null_column", "SELECT 'timestamp' AS type, count(*) AS n, count(*) AS empty FROM orders")
 def _(spark, sf_dir, folder):
     delivered = "order_delivered_customer_date"
@@ -427,6 +449,23 @@ def _(spark, sf_dir, folder):
     )
 
 
+@_add("S18b_ordered_by_two_keys", """
+    SELECT 'product' AS asked, product_key AS "key", count(*) AS n, sum(price)::DOUBLE AS price FROM fct_order_items
+    WHERE product_key BETWEEN 'p10' AND 'p12' GROUP BY 2
+    UNION ALL SELECT 'seller', seller_key, count(*), sum(price)::DOUBLE FROM fct_order_items
+    WHERE seller_key BETWEEN 's1' AND 's3' GROUP BY 2""")
+def _(spark, sf_dir, folder):
+    """Lookups by product or by seller both skip most of one table."""
+    stored = write_zordered(models(spark, sf_dir).fct_order_items, folder, ["product_key", "seller_key"], ["order_id", "order_item_id"])
+
+    def asked(name: str, first: str, last: str) -> DataFrame:
+        key = F.col(f"{name}_key")
+        found = stored.where(key.between(first, last)).groupBy(key.alias("key"))
+        return found.agg(F.count("*").alias("n"), F.sum("price").alias("price")).select(F.lit(name).alias("asked"), "*")
+
+    return asked("product", "p10", "p12").unionByName(asked("seller", "s1", "s3"))
+
+
 @_add("S19_target_switch", """
     SELECT 'ci' AS target, count(*) AS n FROM supplier WHERE s_nationkey < 10 UNION ALL SELECT 'dev', count(*) FROM supplier""")
 def _(spark, sf_dir, folder):

@@ -19,7 +19,7 @@ class ContractError(ValueError):
     """A file that does not match its declaration."""
 
 
-def _options(table: RawTable) -> dict[str, str]:
+def csv_options(table: RawTable) -> dict[str, str]:
     # Only free text may hold line breaks. Everything else stays splittable, so
     # one very large file is still read by many tasks.
     return {
@@ -52,7 +52,7 @@ def header_of(spark: SparkSession, prefix: str, table: RawTable) -> list[str]:
     """Column names as written in the part that is first by name; reads its first line only."""
     parts = spark.read.format("binaryFile").load(location(prefix, table))
     first = parts.agg(F.min("path")).first()[0]  # of a listing: no content is read
-    return spark.read.options(**_options(table)).csv(first).columns if first else []
+    return spark.read.options(**csv_options(table)).csv(first).columns if first else []
 
 
 def check_header(spark: SparkSession, prefix: str, table: RawTable) -> None:
@@ -73,7 +73,7 @@ def _strict(spark: SparkSession, prefix: str, table: RawTable, schema: StructTyp
     on all columns, which always holds, has them read whichever are used later."""
     rows = (
         spark.read.schema(schema)
-        .options(**_options(table))
+        .options(**csv_options(table))
         .options(enforceSchema="false", mode="FAILFAST", columnPruning="false")
         .csv(location(prefix, table))
     )

@@ -1,14 +1,18 @@
 from datetime import date, datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from commerce_lake.sources import landing, versions
 from commerce_lake.sources.contract import ContractError, header_of, missing_files, scan, scan_all
+from commerce_lake.sources.findings import findings
 from commerce_lake.sources.schema import RAW_TABLES, DeclarationError, declare, with_file_prefix
 from commerce_lake.sources.storage import (
     Lake, publish, refresh_days, replace_days, to_client, write_clustered, write_partitioned, write_table,
 )
+from commerce_lake.sources.zorder import interleaved, range_ends, write_zordered
 
 NOW = datetime(2024, 5, 1, 12)
 
@@ -279,3 +283,117 @@ def test_targets_guard_and_client_limit(spark, tmp_path):
     assert len(to_client(df, 5)) == 5
     with pytest.raises(ValueError):
         to_client(df, 4)
+
+
+def test_a_clean_snapshot_has_no_findings(spark, incoming):
+    assert findings(spark, str(incoming)).collect() == []
+
+
+def test_findings_list_every_bad_part_row_and_cell(spark, raw, tmp_path):
+    only = {name: RAW_TABLES[name] for name in ("order_items", "orders", "order_reviews", "products")}
+    _offer(raw["order_items"], tmp_path, "order_items")
+    _offer(raw["orders"], tmp_path, "orders")
+    raw["order_reviews"].write.options(header="true", escape='"').csv(str(tmp_path / only["order_reviews"].file))
+    items, reviews = (tmp_path / only[t].file for t in ("order_items", "order_reviews"))
+    head = ",".join(c for c, _ in only["order_items"].columns)
+    stamp = "2024-01-01 00:00:00"
+    (items / "part-90001.csv").write_text(
+        f"{head}\nx,1,p,s,{stamp},fifty-eight,1.0\ny,one,p,s,soon,2.5,1.0\nz,1,p,s,{stamp},2.5,1.0\n,,,,,,\n"
+    )
+    (items / "part-90002.csv").write_text(f"{head}\nx,1,p,s,{stamp},2.5,1.0,EXTRA\ny,1,p\n")
+    (items / "part-90003.csv").write_text(f"{head},loyalty_tier\nx,1,p,s,{stamp},2.5,1.0,gold\n")
+    (items / "part-90004.csv").write_text(f"{head.replace('price,', '')}\nx,1,p,s,{stamp},1.0\n")
+    (items / "part-90005.csv").write_text(",".join(reversed(head.split(","))) + f"\n1.0,2.5,{stamp},s,p,1,x\n")
+    (items / "part-90006.csv").write_text('"' + head.replace(",", '","') + f'"\nq,1,p,s,{stamp},2.5,1.0\n')
+    head = ",".join(c for c, _ in only["order_reviews"].columns)
+    (reviews / "part-90007.csv").write_text(f'{head}\nr,o,five,"a\nb ""c"", d",,{stamp},{stamp}\n')
+    found = findings(spark, str(tmp_path), only).collect()
+    assert sorted(((r.table, r.file, r.problem, r.column, r.value) for r in found), key=str) == sorted([
+        ("order_items", "part-90001.csv", "type", "price", "fifty-eight"),
+        ("order_items", "part-90001.csv", "type", "order_item_id", "one"),
+        ("order_items", "part-90001.csv", "type", "shipping_limit_date", "soon"),
+        ("order_items", "part-90002.csv", "number of cells", None, None),
+        ("order_items", "part-90002.csv", "number of cells", None, None),
+        ("order_items", "part-90003.csv", "header: undeclared columns", "loyalty_tier", None),
+        ("order_items", "part-90004.csv", "header: missing columns", "price", None),
+        ("order_items", "part-90005.csv", "header: order of columns", None, None),
+        ("order_reviews", "part-90007.csv", "type", "review_score", "five"),
+        ("products", only["products"].file, "no file", None, None),
+    ], key=str)
+    # The load is refused as before.
+    with pytest.raises(FileNotFoundError):
+        landing.load(spark, str(tmp_path), str(tmp_path / "raw"), "a", NOW, only)
+    for name in ("order_items", "order_reviews"):
+        with pytest.raises(ContractError):
+            landing.load(spark, str(tmp_path), str(tmp_path / "raw"), "a", NOW, {name: only[name]})
+
+
+def test_findings_agree_with_the_strict_read(spark, tmp_path):
+    """Whatever a strict read refuses has a finding, and nothing else has."""
+    table = declare([{"table": "t", "file": "t.csv", "columns": {"a": "text", "n": "bigint", "x": "double", "at": "timestamp"}}])
+    records = [
+        "a,1,1.5,2024-01-01 00:00:00", "a,,,", ",,,", "a,1.0,1,2024-01-01", "a, 1,1,2024-01-01", "a,1,1e3,2024-01-01T10:00:00",
+        "a,1,NaN,2024-01-01", "a,1,x,", "a,99999999999999999999,1,", "a,1,1,2024-13-01", '"a,b",1,1,', "a,1,1", "a,1,1,,", "a,1,1,,b",
+    ]
+    for k, record in enumerate(records):
+        (tmp_path / str(k)).mkdir()
+        (tmp_path / str(k) / "t.csv").write_text(f"a,n,x,at\n{record}\n")
+        try:
+            scan(spark, str(tmp_path / str(k)), table["t"]).collect()
+            refused = False
+        except Exception as error:
+            assert "MALFORMED" in str(error)
+            refused = True
+        assert bool(findings(spark, str(tmp_path / str(k)), table).count()) == refused, record
+
+
+def _bytes_for(folder, column, value):
+    """(bytes of row groups that may hold the value, bytes of all)."""
+    read = whole = 0
+    for file in Path(folder).glob("v-*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index(column)
+        for k in range(meta.num_row_groups):
+            group = meta.row_group(k)
+            stats = group.column(at).statistics
+            whole += group.total_byte_size
+            read += group.total_byte_size * (stats.min <= value <= stats.max)
+    return read, whole
+
+
+def test_a_lookup_by_either_key_skips_most_row_groups(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("row"), F.format_string("p%04d", F.xxhash64("id") % 1000 + 1000).alias("product"),
+        # A third of the rows have one seller.
+        F.when(F.col("id") % 3 == 0, "s0500").otherwise(F.format_string("s%04d", F.xxhash64(F.col("id") + 7) % 500 + 500)).alias("seller"),
+    )
+    by_one, by_both = str(tmp_path / "one"), str(tmp_path / "both")
+    write_table(rows.repartitionByRange(64, "product").sortWithinPartitions("product"), by_one)
+    stored = write_zordered(rows, by_both, ["product", "seller"], ["row"], bits=4, files=64)
+    assert sorted(stored.collect()) == sorted(rows.collect())
+    for column, value in (("product", "p1234"), ("product", "p0100"), ("seller", "s0700"), ("seller", "s0042")):
+        read, whole = _bytes_for(by_both, column, value)
+        assert 0 < read < whole / 3, (column, value)
+    # In the order of one key alone, the other's lookups read everything.
+    read, whole = _bytes_for(by_one, "seller", "s0700")
+    assert read == whole
+
+
+def test_ranges_hold_even_shares_and_a_hot_key_one(spark):
+    rows = spark.createDataFrame([(k,) for k in [None] * 5 + [0] * 300 + list(range(1, 601))], "k long")
+    ends = range_ends(rows, "k", 3)
+    assert ends == sorted(ends) and len(ends) <= 7 and ends[0] == 1  # the hot key's range is its own
+    assert range_ends(rows.where("false"), "k", 3) == [] and range_ends(rows.where("k is null"), "k", 3) == []
+
+
+def test_interleaved_bits(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a int, b int")
+    for r in rows.select("a", "b", interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect():
+        assert r.z == int("".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}", strict=True)), 2)
+
+
+def test_zordered_nulls_repeats_and_empty(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "x", 1), ("a", None, 1), ("a", None, 1), (None, None, 2), ("", "", 3)], "a string, b string, _cell int")
+    stored = write_zordered(rows, str(tmp_path / "t"), ["a", "b"])
+    assert stored.columns == rows.columns and sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
+    assert write_zordered(rows.where("false"), str(tmp_path / "e"), ["a", "b"]).count() == 0
