@@ -1,29 +1,32 @@
 """Language-model scores by deleted interpolation.
 
 Tokens are the words of a text with A-Z folded, then one end. The model mixes
-maximum-likelihood estimates of order two, one and zero:
+maximum-likelihood estimates of the orders from `Plan.order` down to zero; for
+order three, with the contexts h3 of two tokens and h2 of one:
 
-    p(w | h) = a2[b] * c(h, w) / c(h) + a1[b] * c(w) / N + a0[b] / (V + 1)
+    p(w | h) = a3[b] * c(h3, w) / c(h3) + a2[b] * c(h2, w) / c(h2) + a1[b] * c(w) / N + a0[b] / (V + 1)
 
-b is the frequency bucket of the context, the bit length of c(h); the first
-word's context is the end before it. The weights of each bucket are learned by
-expectation-maximisation on counts of held-out documents (`held` of `folds`
+b is a frequency bucket: the longest context that training holds, by its length
+and the bit length of its count. A context reaches back to the end before the
+text and no further; where it is shorter than an order asks for, that order's
+estimate is the one of the order below. The weights of each bucket are learned
+by expectation-maximisation on counts of held-out documents (`held` of `folds`
 folds of the training part), against estimates from the rest; the estimates
 used for scores come from all training documents.
 
 How it runs. A task turns its documents into blocks of at most
 `block_tokens` tokens. A block asks for the corpus counts of each of its
-distinct words and word pairs once, and at the same time tells its own counts
+distinct words and longer runs of words once, and at the same time tells its own counts
 of them: requests are sorted arrays, cut by key range into buckets of bounded
 size. One shuffle brings the requests of a bucket together, which sums counts
-and answers every block; a pair that every document holds is one entry per
+and answers every block; a run that every document holds is one entry per
 block. A second shuffle brings the answers back to the blocks. Nothing is
 pruned, and all that is gathered grows with the corpus.
 
-Words and pairs are known by 63-bit hashes of their bytes.
+Words and runs of words are known by 63-bit hashes of their bytes.
 
 Defined results: a null or empty text is one end; a null key falls into the
-fold of the empty string; repeated rows count and are scored each; an empty
+fold of the empty string; keys keep their type; repeated rows count and are scored each; an empty
 table gives no rows. Further columns are not read.
 """
 
@@ -31,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +43,18 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from commerce_lake.llm.common import written
 
 END = b" "  # no word holds white space
-CONTEXTS = 64  # frequency buckets
+CONTEXTS = 64  # frequency buckets of each length of context
 
 
 @dataclass(frozen=True)
 class Plan:
+    order: int = 3
     folds: int = 7
     test: int = 2  # the fold that the model never learns from
     held: int = 5  # the fold that weights are learned on
@@ -89,14 +95,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-BLOCKS = "block long, keys array<long>, folds array<int>, lengths array<int>, words binary, tokens binary, n_entries long"
+BLOCKS = "block long, keys array<{key}>, folds array<int>, lengths array<int>, words binary, tokens binary, n_entries long"
 
 
 def encode(documents: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
     """Blocks of documents: word hashes by local number (0 is the end), and the
     local numbers of all tokens, document after document."""
-    rows = documents.select(F.col(key).cast("long").alias("key"), fold_of(key, plan).alias("fold"), F.col(text).alias("text"))
-    schema = StructType.fromDDL(BLOCKS)
+    rows = documents.select(F.col(key).alias("key"), fold_of(key, plan).alias("fold"), F.col(text).alias("text"))
+    schema = StructType.fromDDL(BLOCKS.format(key=rows.schema["key"].dataType.simpleString()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 33
@@ -117,44 +123,98 @@ def encode(documents: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
                     [block], [keys.slice(first, row - first).to_pylist()], [folds.slice(first, row - first).to_pylist()], [lengths],
                     [words.tobytes()], [_squeeze(local)], [len(words) + len(local)],
                 ]
-                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64()]
+                types = [pa.int64(), pa.list_(keys.type), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
                 block += 1
 
     return rows.mapInArrow(run, schema)
 
 
+def _mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of runs, from those of their contexts and last words; the lowest bit tells them from words."""
+    mixed = (context * np.uint64(0x9E3779B97F4A7C15)) ^ (word >> np.uint64(1))
+    mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed | np.uint64(1)
+
+
+class Runs:
+    """The distinct runs of one order in a block.
+
+    `of` is the run that ends at each token. A run whose context would reach
+    beyond the end before its text is cut: it stands for the run of the order
+    below. `context` is the run before the last word, `word` that word, `lower`
+    the run without its first word; `whole` numbers the runs that are not cut.
+    """
+
+    def __init__(self, below: np.ndarray, tokens: np.ndarray, words: int, since: np.ndarray, order: int) -> None:
+        before = np.concatenate([[0], below[:-1]])
+        codes = np.where(since >= order - 2, before * words + tokens, -1 - below)
+        distinct, first, self.of = np.unique(codes, return_index=True, return_inverse=True)
+        self.cut = distinct < 0
+        self.whole = np.flatnonzero(~self.cut)
+        self.context, self.word = np.divmod(np.where(self.cut, 0, distinct), words)
+        self.lower = below[first]
+
+
 class Block:
-    """The distinct words and pairs of a block, in the order their counts are asked for."""
+    """The distinct words and runs of a block, in the order their counts are asked for."""
 
-    def __init__(self, words: bytes, tokens: bytes) -> None:
-        hashes = np.frombuffer(words, "<u8")
-        self.tokens = _expand(tokens, "<u4").astype(np.int64)
-        # The token before a document's first one is the end of the one before it, or local number 0.
-        contexts = np.concatenate([[0], self.tokens[:-1]])
-        pairs, self.pair_of = np.unique(contexts * len(hashes) + self.tokens, return_inverse=True)
-        self.context, self.word = np.divmod(pairs, len(hashes))
-        mixed = (hashes[self.context] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[self.word] >> np.uint64(1))
-        mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(32)
+    def __init__(self, row: dict, order: int) -> None:
+        hashes = np.frombuffer(row["words"], "<u8")
+        self.tokens = _expand(row["tokens"], "<u4").astype(np.int64)
         self.n_words = len(hashes)
-        keys = np.concatenate([hashes, mixed | np.uint64(1)])  # the lowest bit tells pairs from words
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        lengths = np.asarray(row["lengths"], np.int64)
+        since = np.arange(len(self.tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        # The token before a document's first one is the end of the one before it, or local number 0.
+        self.runs, below, known, keys = [], self.tokens, hashes, [hashes]
+        for k in range(2, order + 1):
+            runs = Runs(below, self.tokens, self.n_words, since, k)
+            made = np.zeros(len(runs.cut), "<u8")
+            made[runs.whole] = _mixed(known[runs.context[runs.whole]], hashes[runs.word[runs.whole]])
+            keys.append(made[runs.whole])
+            self.runs.append(runs)
+            below, known = runs.of, made
+        self.sizes = [len(k) for k in keys]
+        whole = np.concatenate(keys)
+        self.order = np.argsort(whole)
+        self.keys = whole[self.order]
 
     def counts(self, chosen: np.ndarray) -> np.ndarray:
         """Counts over the chosen tokens, in the order of keys."""
-        words = np.bincount(self.tokens[chosen], minlength=self.n_words)
-        pairs = np.bincount(self.pair_of[chosen], minlength=len(self.context))
-        return np.concatenate([words, pairs])[self.order]
+        found = [np.bincount(self.tokens[chosen], minlength=self.n_words)]
+        found += [np.bincount(r.of[chosen], minlength=len(r.cut))[r.whole] for r in self.runs]
+        return np.concatenate(found)[self.order]
 
-    def answered(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts in the order of keys, as counts of words and of pairs."""
+    def answered(self, counts: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Counts of words, and for each order from two, the counts of runs and of their contexts."""
         placed = np.empty_like(counts)
         placed[self.order] = counts
-        return placed[: self.n_words], placed[self.n_words :]
+        words, *asked = np.split(placed, np.cumsum(self.sizes)[:-1])
+        below, found = words, []
+        for runs, known in zip(self.runs, asked, strict=True):
+            own, context = np.zeros(len(runs.cut), np.int64), below[runs.context]
+            own[runs.whole] = known
+            if found:
+                cut = runs.lower[runs.cut]
+                own[runs.cut], context[runs.cut] = found[-1][0][cut], found[-1][1][cut]
+            found.append((own, context))
+            below = own
+        return words, found
+
+    def per_run(
+        self, words: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]
+    ) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """What `answered` gives, for each of the distinct runs of the highest order:
+        counts of its last word, and of its shortened forms and their contexts."""
+        at, aligned = np.arange(len(self.runs[-1].cut)), []
+        for runs, (own, context) in zip(reversed(self.runs), reversed(found), strict=True):
+            aligned.append((own[at], context[at]))
+            # The lowest runs are pairs, none of them cut: their last words are known.
+            at = runs.word[at] if runs is self.runs[0] else runs.lower[at]
+        return words[at], aligned[::-1]
 
 
 REQUESTS = "bucket int, block long, keys binary, kept binary, held binary, whole boolean"
@@ -167,7 +227,7 @@ def requests(blocks: DataFrame, bits: int, plan: Plan, whole: bool) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            block = Block(row["words"], row["tokens"])
+            block = Block(row, plan.order)
             fold = np.repeat(row["folds"], row["lengths"])
             if whole:
                 kept = block.counts((fold != plan.test) & (fold != plan.held)).astype("<u4")
@@ -230,78 +290,86 @@ def _counts(row: dict) -> np.ndarray:
     return np.concatenate([_expand(a["counts"], "<u8") for a in row["answers"]]).astype(np.int64)
 
 
-EVENTS = "times long, pair long, context long, word long"
-
-
-def held_out_events(blocks: DataFrame) -> DataFrame:
-    """How often held-out pairs occur, with the counts their estimates are made of."""
+def held_out_events(blocks: DataFrame, plan: Plan) -> DataFrame:
+    """How often held-out runs occur, with the counts their estimates are made of:
+    `word`, and for each order k from two `own_k` and `context_k`."""
+    orders = range(2, plan.order + 1)
+    names = ["times", "word", *[f"{name}_{k}" for k in orders for name in ("own", "context")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            block = Block(row["words"], row["tokens"])
-            words, pairs = block.answered(_counts(row))
-            columns = [np.bincount(block.pair_of), pairs, words[block.context], words[block.word]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["times", "pair", "context", "word"])
+            block = Block(row, plan.order)
+            word, found = block.per_run(*block.answered(_counts(row)))
+            columns = [np.bincount(block.runs[-1].of), word, *[c for pair in found for c in pair]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    return blocks.select("words", "tokens", "answers").mapInArrow(run, EVENTS)
+    return blocks.select("lengths", "words", "tokens", "answers").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def learned(events: DataFrame, n: int, v: int, plan: Plan) -> np.ndarray:
-    """Weights (order two, one, zero) of each context bucket by expectation-maximisation.
+    """Weights (highest order first, zero last) of each context bucket by expectation-maximisation.
 
     A step is one aggregate over the events; only a row per bucket returns.
     A third of an observation per weight keeps all of them positive.
     """
+    orders = range(plan.order, 1, -1)
+    bits = lambda c: F.length(F.regexp_replace(F.bin(c), "^0$", ""))
+    held = [F.when(F.col(f"context_{k}") > 0, (k - 2) * CONTEXTS + bits(f"context_{k}")) for k in orders]
     of = events.select(
-        F.col("times").cast("double"),
-        F.length(F.regexp_replace(F.bin("context"), "^0$", "")).alias("bucket"),
-        F.when(F.col("context") > 0, F.col("pair") / F.col("context")).otherwise(F.lit(0.0)).alias("f2"),
+        F.col("times").cast("double"), F.coalesce(*held, F.lit(0)).alias("bucket"),
+        *[F.when(F.col(f"context_{k}") > 0, F.col(f"own_{k}") / F.col(f"context_{k}")).otherwise(F.lit(0.0)).alias(f"f{k}") for k in orders],
         (F.col("word") / F.lit(float(max(n, 1)))).alias("f1"),
     )
-    of = written(of.groupBy("bucket", "f2", "f1").agg(F.sum("times").alias("times")), "events")
-    weights = np.full((CONTEXTS, 3), 1 / 3)
-    zero = 1.0 / (v + 1)
+    estimates = [*[f"f{k}" for k in orders], "f1"]
+    of = written(of.groupBy("bucket", *estimates).agg(F.sum("times").alias("times")), "events")
+    width = plan.order + 1
+    weights = np.full((CONTEXTS * (plan.order - 1), width), 1 / width)
+    values = [*map(F.col, estimates), F.lit(1.0 / (v + 1))]
     for _ in range(plan.rounds):
-        a2, a1, a0 = (F.array(*map(F.lit, weights[:, k].tolist()))[F.col("bucket")] for k in range(3))
-        parts = of.select("bucket", "times", (a2 * F.col("f2")).alias("p2"), (a1 * F.col("f1")).alias("p1"), (a0 * F.lit(zero)).alias("p0"))
-        share = lambda p: F.sum(F.col("times") * F.col(p) / (F.col("p2") + F.col("p1") + F.col("p0"))).alias(p)
+        weight = [F.array(*map(F.lit, weights[:, k].tolist()))[F.col("bucket")] for k in range(width)]
+        parts = of.select("bucket", "times", *[(a * f).alias(f"p{k}") for k, (a, f) in enumerate(zip(weight, values, strict=True))])
+        total = reduce(lambda a, b: a + b, [F.col(f"p{k}") for k in range(width)])
+        shares = [F.sum(F.col("times") * F.col(f"p{k}") / total).alias(f"p{k}") for k in range(width)]
         last, weights = weights, weights.copy()
-        for row in parts.groupBy("bucket").agg(share("p2"), share("p1"), share("p0")).collect():
-            expected = np.array([row["p2"], row["p1"], row["p0"]]) + 1 / 3
+        for row in parts.groupBy("bucket").agg(*shares).collect():
+            expected = np.array(row[1:]) + 1 / 3
             weights[row["bucket"]] = expected / expected.sum()
         if np.abs(weights - last).max() < plan.settled:
             break
     return weights
 
 
-SCORES = "key long, fold int, n_tokens long, n_known long, base_score double, score double"
+SCORES = "key {key}, fold int, n_tokens long, n_known long, base_score double, score double"
+
 
+def scores(blocks: DataFrame, weights: np.ndarray, n: int, v: int, plan: Plan) -> DataFrame:
+    schema = StructType.fromDDL(SCORES.format(key=blocks.schema["keys"].dataType.elementType.simpleString()))
+    key_type = to_arrow_schema(schema).field("key").type
 
-def scores(blocks: DataFrame, weights: np.ndarray, n: int, v: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            block = Block(row["words"], row["tokens"])
-            words, pairs = block.answered(_counts(row))
-            context = words[block.context]
-            bucket = np.frexp(context.astype(np.float64))[1]  # bit lengths
-            p = (
-                weights[bucket, 0] * (pairs / np.maximum(context, 1))
-                + weights[bucket, 1] * (words[block.word] / max(n, 1))
-                + weights[bucket, 2] / (v + 1)
-            )
+            block = Block(row, plan.order)
+            words, known = block.answered(_counts(row))
+            word, found = block.per_run(words, known)
+            bucket = np.zeros(len(word), np.int64)
+            for k, (_, context) in enumerate(found):  # the longest context that is held comes last
+                bucket = np.where(context > 0, k * CONTEXTS + np.frexp(context.astype(np.float64))[1], bucket)
+            p = weights[bucket, -2] * (word / max(n, 1)) + weights[bucket, -1] / (v + 1)
+            for k, (own, context) in enumerate(reversed(found)):
+                p += weights[bucket, k] * (own / np.maximum(context, 1))
             starts = np.cumsum([0, *row["lengths"][:-1]])
             per_doc = lambda values: np.add.reduceat(values, starts)  # noqa: B023, E731
             columns = [
                 row["keys"], row["folds"], row["lengths"], per_doc((words > 0).astype(np.int64)[block.tokens]),
-                per_doc(np.log10((words + 1) / (n + v + 1))[block.tokens]), per_doc(np.log10(p)[block.pair_of]),
+                per_doc(np.log10((words + 1) / (n + v + 1))[block.tokens]), per_doc(np.log10(p)[block.runs[-1].of]),
             ]
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            types = [key_type, pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                 names=["key", "fold", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    return blocks.select("keys", "folds", "lengths", "words", "tokens", "answers").mapInArrow(run, SCORES)
+    return blocks.select("keys", "folds", "lengths", "words", "tokens", "answers").mapInArrow(run, schema)
 
 
 def score(documents: DataFrame, plan: Plan = Plan(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,9 +383,9 @@ def score(documents: DataFrame, plan: Plan = Plan(), key: str = "doc_id", text:
     answers = written(tally(asked), "answers")
     sums = answers.agg(*[F.sum(c) for c in ("n_kept", "v_kept", "n_all", "v_all")]).first()
     n_kept, v_kept, n_all, v_all = (int(s or 0) for s in sums)
-    events = held_out_events(_with_answers(held, answers.filter("NOT whole")))
+    events = held_out_events(_with_answers(held, answers.filter("NOT whole")), plan)
     weights = learned(events, n_kept, v_kept, plan)
-    found = scores(_with_answers(blocks, answers.filter("whole")), weights, n_all, v_all)
+    found = scores(_with_answers(blocks, answers.filter("whole")), weights, n_all, v_all, plan)
     return found.select(
         F.col("key").alias(key), (F.col("fold") == plan.test).alias("held_out"), "n_tokens", "n_known",
         F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score",

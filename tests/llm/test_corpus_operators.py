@@ -117,46 +117,57 @@ def _model(texts: dict, plan: lm.Plan):
     tokens = {i: [*brute.words_of(t), " "] for i, t in texts.items()}
     fold = {i: zlib.crc32(str(i).encode()) % plan.folds for i in texts}
 
+    def runs(i):
+        """For each token its runs of one to `order` tokens, shorter where the text begins."""
+        padded = [" ", *tokens[i]]
+        return [tuple(tuple(padded[max(at - k, 0) : at + 1]) for k in range(plan.order)) for at in range(1, len(padded))]
+
     def count(chosen):
-        one, two = Counter(), Counter()
+        counts = Counter()
         for i in chosen:
-            one.update(tokens[i])
-            two.update(zip([" ", *tokens[i]], tokens[i], strict=False))
-        return one, two, sum(one.values()), len(one)
-
-    one, two, n, v = count([i for i in texts if fold[i] not in (plan.test, plan.held)])
-    events = Counter()
-    for i in texts:
-        if fold[i] == plan.held:
-            events.update(zip([" ", *tokens[i]], tokens[i], strict=False))
-    weights = defaultdict(lambda: [1 / 3] * 3)
+            for each in runs(i):
+                counts.update(set(each))  # a run that is cut short is that of an order below
+        words = [c for run, c in counts.items() if len(run) == 1]
+        return counts, sum(words), len(words)
+
+    def estimates(each, counts, n, v):
+        """(bucket, estimates from the highest order to zero) of one token."""
+        contexts = [counts[run[:-1]] for run in each[1:]]
+        bucket = max(((k, c.bit_length()) for k, c in enumerate(contexts) if c), default=0)
+        of = [counts[run] / max(c, 1) for run, c in zip(each[1:], contexts, strict=True)]
+        return bucket, [*reversed(of), counts[each[0]] / max(n, 1), 1 / (v + 1)]
+
+    width = plan.order + 1
+    model = count([i for i in texts if fold[i] not in (plan.test, plan.held)])
+    events = Counter(each for i in texts if fold[i] == plan.held for each in runs(i))
+    weights = defaultdict(lambda: [1 / width] * width)
     for _ in range(plan.rounds):
-        sums = defaultdict(lambda: [1 / 3] * 3)
-        for (h, w), times in events.items():
-            b = one[h].bit_length()
-            parts = [weights[b][0] * two[h, w] / max(one[h], 1), weights[b][1] * one[w] / max(n, 1), weights[b][2] / (v + 1)]
-            for k in range(3):
+        sums = defaultdict(lambda: [1 / 3] * width)
+        for each, times in events.items():
+            b, f = estimates(each, *model)
+            parts = [a * x for a, x in zip(weights[b], f, strict=True)]
+            for k in range(width):
                 sums[b][k] += times * parts[k] / sum(parts)
         last = {b: weights[b] for b in sums}
         weights.update({b: [x / sum(s) for x in s] for b, s in sums.items()})
         if max((abs(x - y) for b in sums for x, y in zip(last[b], weights[b], strict=True)), default=0) < plan.settled:
             break
-    one, two, n, v = count([i for i in texts if fold[i] != plan.test])
+    one, n, v = model = count([i for i in texts if fold[i] != plan.test])
     out = {}
     for i, t in tokens.items():
         score = 0.0
-        for h, w in zip([" ", *t], t, strict=False):
-            a = weights[one[h].bit_length()]
-            score += math.log10(a[0] * two[h, w] / max(one[h], 1) + a[1] * one[w] / max(n, 1) + a[2] / (v + 1))
-        out[i] = (len(t), sum(one[w] > 0 for w in t), sum(math.log10((one[w] + 1) / (n + v + 1)) for w in t), score)
+        for each in runs(i):
+            b, f = estimates(each, *model)
+            score += math.log10(sum(a * x for a, x in zip(weights[b], f, strict=True)))
+        out[i] = (len(t), sum(one[w,] > 0 for w in t), sum(math.log10((one[w,] + 1) / (n + v + 1)) for w in t), score)
     return out, n
 
 
-@pytest.mark.parametrize("block", [50, 4_000_000])
-def test_language_model(spark, documents, block):
+@pytest.mark.parametrize("order, block", [(2, 50), (2, 4_000_000), (3, 50), (3, 4_000_000), (4, 700)])
+def test_language_model(spark, documents, order, block):
     texts = [" ".join(rng.choices(WORDS[:40], k=rng.randint(0, 60))) for _ in range(150)]
     texts += [None, "", "Unseen", "é É", "w1 " * 3000, texts[0], texts[0]]
-    plan = lm.Plan(block_tokens=block, bucket_entries=500)
+    plan = lm.Plan(order=order, block_tokens=block, bucket_entries=500)
     rows = lm.score(documents(texts), plan).collect()
     expected, n = _model(dict(enumerate(texts)), plan)
     for r in rows:
@@ -166,6 +177,11 @@ def test_language_model(spark, documents, block):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
 
 
+def test_language_model_keeps_keys_of_any_type(spark):
+    df = spark.createDataFrame([("x-1", "a b"), (None, "a"), ("y", None)], "doc_id string, text string")
+    assert {r["doc_id"]: r["n_tokens"] for r in lm.score(df).collect()} == {"x-1": 3, None: 2, "y": 1}
+
+
 def test_language_model_beats_its_base_on_unseen_text(spark):
     rows = lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
