@@ -54,7 +54,7 @@ CONTEXTS = 64  # frequency buckets of each length of context
 
 @dataclass(frozen=True)
 class Plan:
-    order: int = 3
+    order: int = 2
     folds: int = 7
     test: int = 2  # the fold that the model never learns from
     held: int = 5  # the fold that weights are learned on
