@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 from commerce_lake.sources.storage import shared_folder
 
+TEXTS_AT_ONCE = 2000
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the folder all executors share and read it back.
@@ -45,9 +47,10 @@ def with_text_columns(
     """`df` plus columns that a task computes from one text column, null read as empty.
 
     `make` runs once per task and returns a function from a batch of texts to
-    the lists of values of the added columns. All other columns pass through
-    as Arrow data, but columns of the added names are replaced. Nothing is
-    shuffled; a lost task repeats only its split.
+    the lists of values of the added columns; a batch has `TEXTS_AT_ONCE` texts
+    at most, for they and what is made of them are held several times over. All
+    other columns pass through as Arrow data, but columns of the added names are
+    replaced. Nothing is shuffled; a lost task repeats only its split.
     """
     new = StructType.fromDDL(added)
     kept = df.drop(*new.names, *[text] * drop_text)
@@ -56,7 +59,7 @@ def with_text_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in (whole.slice(k, TEXTS_AT_ONCE) for whole in batches for k in range(0, max(whole.num_rows, 1), TEXTS_AT_ONCE)):
             texts = [value or "" for value in batch.column(text).to_pylist()]
             columns = [pa.array(values, type=field.type) for values, field in zip(work(texts), types, strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -35,6 +35,7 @@ from pyspark.sql.types import StructType
 # Fixed value: how a byte-level BPE of this family splits a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STRETCH = 1 << 20  # characters encoded at once
+PIECES_AT_ONCE = 512  # handed on together
 
 
 @dataclass(frozen=True)
@@ -159,40 +160,43 @@ def place(
         encoder = Encoder(tokenizer, added=True)
         sequence = TaskContext.get().partitionId() << 33
         for batch in batches:
-            rows, starts, pieces, totals, bearing = [], [], [], [], []
+            encoded, rows, starts, lengths, bearing = [], [], [], [], []
             for row, value in enumerate(batch.column(text)):
                 ids = np.append(encoder.ids(value.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 mask = np.arange(len(ids)) > 0 if loss is None else loss(ids)
                 upto = np.concatenate([[0], np.cumsum(mask)])
+                encoded.append(ids)
                 start = 0
                 while start < len(ids):
                     within_loss = int(np.searchsorted(upto, upto[start] + limits.loss_tokens, side="right")) - 1
                     end = min(start + limits.tokens, within_loss, len(ids))
                     rows.append(row)
                     starts.append(start)
-                    pieces.append(ids[start:end])
-                    totals.append(len(ids))
+                    lengths.append(end - start)
                     bearing.append(int(upto[end] - upto[start]))
                     start = end
-            demands = np.array([(len(p), 1, b) for p, b in zip(pieces, bearing, strict=True)], np.int64).reshape(-1, 3)
-            bins = pack(demands, limits)
-            order = np.array([p for b in bins for p in b], np.int64)
-            places = []
-            for chosen in bins:
+            demands = np.array([(n, 1, b) for n, b in zip(lengths, bearing, strict=True)], np.int64).reshape(-1, 3)
+            order, places = [], []
+            for chosen in pack(demands, limits):
                 offset = 0
                 for segment, p in enumerate(chosen):
+                    order.append(p)
                     places.append((sequence, offset, segment))
-                    offset += len(pieces[p])
+                    offset += lengths[p]
                 sequence += 1
-            columns = [
-                [starts[p] for p in order], [len(pieces[p]) for p in order], [totals[p] for p in order],
-                [bearing[p] for p in order], *([list(c) for c in zip(*places, strict=True)] or [[], [], []]),
-            ]
-            arrays = [pa.array(c, type=f.type) for c, f in zip(columns, types, strict=False)]
-            ids = pa.array([pieces[p].tobytes() for p in order], pa.binary())
-            taken = pa.array([rows[p] for p in order], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n).take(taken) for n in names], *arrays, ids], names=[*names, *types.names]
-            )
+            # Ids are copied for a few pieces at a time: copies of all would be several times the batch.
+            for first in range(0, max(len(order), 1), PIECES_AT_ONCE):
+                some = order[first : first + PIECES_AT_ONCE]
+                placed = [list(c) for c in zip(*places[first : first + PIECES_AT_ONCE], strict=True)] or [[], [], []]
+                columns = [
+                    [starts[p] for p in some], [lengths[p] for p in some], [len(encoded[rows[p]]) for p in some],
+                    [bearing[p] for p in some], *placed,
+                ]
+                arrays = [pa.array(c, type=f.type) for c, f in zip(columns, types, strict=False)]
+                ids = pa.array([encoded[rows[p]][starts[p] : starts[p] + lengths[p]].tobytes() for p in some], pa.binary())
+                taken = pa.array([rows[p] for p in some], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(n).take(taken) for n in names], *arrays, ids], names=[*names, *types.names]
+                )
 
     return documents.mapInArrow(run, StructType([*kept.schema.fields, *new.fields]))

@@ -11,12 +11,13 @@ from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from tables import SF, documents, sf_dir  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from commerce_lake.llm import chat, components, decontam, lm, neardup, queries, warc
+from commerce_lake.llm import chat, common, components, decontam, lm, neardup, packing, quality, queries, warc
 
 rng = random.Random(9)
 WORDS = [f"w{i}" for i in range(300)]
@@ -472,3 +473,28 @@ def test_near_duplicates_of_rows_that_share_an_id(spark):
     assert sorted(t or "" for _, t, _ in kept) == ["", "", a, b, c, d]
     assert {(i, t) for i, t, _ in kept} == {(3, a), (5, b), (2, c), (None, d), (9, None)}
     assert len({n for *_, n in kept}) == 6
+
+
+def _batches(monkeypatch, spark, make, rows):
+    """Sizes of the batches that a function over Arrow batches hands on for one batch of `rows` texts."""
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    runs = []
+    with monkeypatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", lambda df, run, schema: runs.append(run))
+        make(docs)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(rows)), "text": [f"text {k}" for k in range(rows)]})
+    return list(runs[0](iter([batch])))
+
+
+def test_packing_hands_on_few_pieces_at_a_time(spark, monkeypatch):
+    made = _batches(monkeypatch, spark, lambda docs: packing.place(docs, queries.tokenizer_path()), 3000)
+    assert max(b.num_rows for b in made) <= packing.PIECES_AT_ONCE
+    assert sorted(k for b in made for k in b.column("doc_id").to_pylist()) == list(range(3000))
+
+
+def test_text_columns_are_made_for_few_texts_at_a_time(spark, monkeypatch):
+    made = _batches(monkeypatch, spark, quality.measured, 5000)
+    assert max(b.num_rows for b in made) <= common.TEXTS_AT_ONCE
+    assert [k for b in made for k in b.column("doc_id").to_pylist()] == list(range(5000))
+    assert [b.num_rows for b in _batches(monkeypatch, spark, quality.measured, 0)] == [0]
