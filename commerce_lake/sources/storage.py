@@ -15,6 +15,9 @@ from pyspark.sql.types import StructType
 from commerce_lake.sources import versions
 
 
+DAY_PARTITIONS = 1000
+
+
 @dataclass(frozen=True)
 class Lake:
     """Base folder and target name; dev, ci and prod never share a table."""
@@ -90,9 +93,10 @@ def _by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
 
     The rebalance hint costs one shuffle and no sampling pass. Adaptive
     execution then splits a day that holds much of the table over many tasks
-    and lets one task write several small days.
+    and lets one task write several small days. It starts from many partitions,
+    so that one which is split holds few days: each part of it writes a file a day.
     """
-    return df.hint("rebalance", F.col(day)).sortWithinPartitions(day, *cluster)
+    return df.hint("rebalance", DAY_PARTITIONS, F.col(day)).sortWithinPartitions(day, *cluster)
 
 
 def write_partitioned(

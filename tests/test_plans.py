@@ -11,6 +11,7 @@ from commerce_lake.functions.text import WHITE_SPACE
 from commerce_lake.operators.prefix import running_sums
 from commerce_lake.plans import analytics, colocated, quality
 from commerce_lake.plans.models import Models
+from commerce_lake.session import ADVISORY, TASK_BYTES, tune
 from commerce_lake.sources.storage import Lake
 
 SF = "/root/testdata/sf0.001"
@@ -159,3 +160,11 @@ def test_running_sums_hold_no_table_in_one_task(no_broadcasts):
     assert plan.count("Window") == 2 and "rangepartitioning" not in plan.split("FileScan")[0]
     # The only window over all rows sees one row per partition.
     assert plan.count("SinglePartition") == 1
+
+
+def test_a_task_takes_little_shuffled_data_unless_the_session_says_more(spark):
+    session = spark.newSession()
+    session.conf.unset(ADVISORY)
+    assert tune(session).conf.get(ADVISORY) == TASK_BYTES
+    session.conf.set(ADVISORY, "32m")
+    assert tune(session).conf.get(ADVISORY) == "32m"
