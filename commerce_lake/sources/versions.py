@@ -105,14 +105,18 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
     return folder
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def prune(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
     """Delete folders that none of the last `keep` states needs; returns them."""
     found = versions(spark, path)
     needed = {v.folder for back in range(max(keep, 1)) for v in _needed(found[: len(found) - back])}
     gone = [v.folder for v in found if v.folder not in needed]
     for folder in gone:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete(spark, folder)
     return gone
 
 

@@ -12,28 +12,44 @@ reached. Only these ends, fewer than 2^bits for each key, come to the driver. A
 key with a third of all rows is a range of its own, in which the other keys and
 `spread` decide; ranges of rows are split by the range exchange.
 
+Every key needs a pass over the rows, and so do the range exchange and the write.
+What makes the rows, perhaps a join, runs once: they are written as they are
+made, all passes read that copy, and it is deleted at the end.
+
 Defined results: null keys lie in a key's first range; a table without rows
 gives an empty table; rows are neither lost nor repeated.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from commerce_lake.operators.prefix import running_sums
-from commerce_lake.sources.storage import write_table
+from commerce_lake.sources import versions
+from commerce_lake.sources.storage import shared_folder, write_table
+
+
+def _copied(df: DataFrame) -> tuple[DataFrame, str]:
+    """`df` as a written copy, and the folder that holds it."""
+    spark, folder = df.sparkSession, f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(StructType.fromJson(df.schema.jsonValue())).parquet(folder), folder
 
 
 def range_ends(df: DataFrame, key: str, bits: int) -> list:
     """Smallest key of every range but the first, ascending; fewer than 2^bits."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
-    upto = running_sums(counts, [F.col("key")], {"upto": "n"})
+    counts, folder = _copied(df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0]
     if not total:
+        versions.delete(df.sparkSession, folder)
         return []
+    upto = running_sums(counts, [F.col("key")], {"upto": "n"})
+    versions.delete(df.sparkSession, folder)  # the sums are written
     # Rows before a key tell its range.
     share = F.floor((F.col("upto") - F.col("n")) / F.lit(total) * 2**bits)
     starts = upto.groupBy(share.alias("range")).agg(F.min("key").alias("key"))
@@ -41,9 +57,15 @@ def range_ends(df: DataFrame, key: str, bits: int) -> list:
 
 
 def _range_of(key: Column, ends: Sequence) -> Column:
-    if not ends:
-        return F.lit(0)
-    return F.coalesce(F.size(F.filter(F.array(*map(F.lit, ends)), lambda end: end <= key)), F.lit(0))
+    """How many of the ends a key has reached, found by halving; none for null."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(key >= F.lit(ends[middle - 1]), among(middle, high)).otherwise(among(low, middle - 1))
+
+    return among(0, len(ends))
 
 
 def interleaved(numbers: Sequence[Column], bits: int) -> Column:
@@ -64,11 +86,14 @@ def write_zordered(
     `spread` names columns that separate rows of equal keys. `bits` a key give
     2^(bits * keys) cells; more of them than row groups help nobody.
     """
-    place = interleaved([_range_of(F.col(k), range_ends(df, k, bits)) for k in keys], bits)
+    rows, folder = _copied(df)
+    place = interleaved([_range_of(F.col(k), range_ends(rows, k, bits)) for k in keys], bits)
     # Named for the sort only; a column of that name cannot be the table's own.
     name = "_cell"
     while name in df.columns:
         name += "_"
-    celled, order = df.withColumn(name, place), [name, *keys, *spread]
+    celled, order = rows.withColumn(name, place), [name, *keys, *spread]
     dealt = celled.repartitionByRange(files, *order) if files else celled.repartitionByRange(*order)
-    return write_table(dealt.sortWithinPartitions(*order).drop(name), path, watch, seen)
+    stored = write_table(dealt.sortWithinPartitions(*order).drop(name), path, watch, seen)
+    versions.delete(df.sparkSession, folder)
+    return stored

@@ -12,7 +12,7 @@ from commerce_lake.sources.schema import RAW_TABLES, DeclarationError, declare,
 from commerce_lake.sources.storage import (
     Lake, publish, refresh_days, replace_days, to_client, write_clustered, write_partitioned, write_table,
 )
-from commerce_lake.sources.zorder import interleaved, range_ends, write_zordered
+from commerce_lake.sources.zorder import _range_of, interleaved, range_ends, write_zordered
 
 NOW = datetime(2024, 5, 1, 12)
 
@@ -397,3 +397,23 @@ def test_zordered_nulls_repeats_and_empty(spark, tmp_path):
     stored = write_zordered(rows, str(tmp_path / "t"), ["a", "b"])
     assert stored.columns == rows.columns and sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
     assert write_zordered(rows.where("false"), str(tmp_path / "e"), ["a", "b"]).count() == 0
+
+
+def test_zordered_makes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("id", "id % 37 a", "id % 91 b").mapInArrow(seen, "id long, a long, b long")
+    assert sorted(write_zordered(rows, str(tmp_path / "t"), ["a", "b"], ["id"], bits=3).collect()) == sorted(rows.collect())
+    assert made.value == 2 * 1000  # once to write, once to compare
+
+
+def test_range_of_counts_the_ends_reached(spark):
+    rows = spark.createDataFrame([(k,) for k in [None, -1, 0, 1, 2, 3, 5, 8, 9]], "k long")
+    ends = [0, 2, 3, 8]
+    for r in rows.select("k", _range_of(F.col("k"), ends).alias("n"), _range_of(F.col("k"), []).alias("none")).collect():
+        assert r.n == sum(r.k is not None and end <= r.k for end in ends) and r.none == 0
