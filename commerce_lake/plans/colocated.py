@@ -3,8 +3,9 @@
 Facts that meet on order_id are written once, hashed into the same number of
 buckets, one file a bucket, sorted by order. Whatever joins or sums them by
 order afterwards moves no row: a task reads the same bucket of each table. The
-bucket count is that of the largest table over the wanted bucket size and is
-kept with the table, so that a later session opens it in the same way.
+bucket count is that of the rows of the largest table over BUCKET_ROWS, so that
+a task's share stays the same however large the tables are, and is kept with the
+table, so that a later session opens it in the same way.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ KEY = "order_id"
 LAYER = "by_order"
 #: Models with one or more rows per order, as everything made by order needs them.
 TABLES = ("int_order_lifecycle", "stg_order_items", "stg_order_payments")
+#: Rows of the largest table that a bucket holds on average; a task sorts and sums
+#: a bucket of each table.
+BUCKET_ROWS = 500_000
 LAYOUT = "folder string, key string, buckets int, schema string"
 
 
@@ -60,8 +64,17 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(name)
 
 
+def enough_buckets(m: Models, least: int) -> int:
+    """`least`, or as many as the largest table needs. Staging rows are counted,
+    which reads hardly a column; the lifecycle has as many rows as its orders."""
+    rows = max(df.count() for df in (m.stg_orders, m.stg_order_items, m.stg_order_payments))
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def store_by_order(m: Models, lake: Lake, buckets: int) -> None:
-    """Write the tables of orders, lines and payments, all with the same buckets."""
+    """Write the tables of orders, lines and payments, all with the same buckets:
+    as many as asked for, or more where the tables are large."""
+    buckets = enough_buckets(m, buckets)
     for name in TABLES:
         write_bucketed(getattr(m, name), lake.path(LAYER, name), KEY, buckets)
 

@@ -162,6 +162,19 @@ def test_running_sums_hold_no_table_in_one_task(no_broadcasts):
     assert plan.count("SinglePartition") == 1
 
 
+def test_stored_by_order_takes_buckets_by_rows(no_broadcasts, tmp_path, monkeypatch):
+    m, lake = bound_models(no_broadcasts, SF), Lake(str(tmp_path), "ci")
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 1000)
+    most = max(m.stg_order_items.count(), m.stg_order_payments.count())
+    buckets = -(-most // 1000)
+    assert buckets > 4 and colocated.enough_buckets(m, buckets + 1) == buckets + 1
+    colocated.store_by_order(m, lake, buckets=4)
+    opened = colocated.opened_by_order(m, lake)
+    plan = final_plan(opened.fct_orders)
+    assert "Exchange" not in plan and f"SelectedBucketsCount: {buckets} out of {buckets}" in plan
+    assert sorted(map(str, opened.fct_orders.collect())) == sorted(map(str, m.fct_orders.collect()))
+
+
 def test_a_task_takes_little_shuffled_data_unless_the_session_says_more(spark):
     session = spark.newSession()
     session.conf.unset(ADVISORY)
