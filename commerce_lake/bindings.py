@@ -95,13 +95,19 @@ def customers(o: DataFrame) -> DataFrame:
     )
 
 
+def _cents(amount: str) -> str:
+    """An amount in cents. `round` writes a double out as text and reads it again;
+    `rint` gives the same but halfway between two integers."""
+    cents = f"{amount} * 100"
+    return f"cast(if(abs({cents} - rint({cents})) = 0.5D, round({cents}), rint({cents})) as bigint)"
+
+
 def _line_cents(line: DataFrame) -> DataFrame:
+    price, tax = _cents("l_extendedprice"), _cents("l_tax")
     return line.select(
         "*",
-        F.expr("cast(round(l_extendedprice * 100) as bigint)").alias("price_cents"),
-        F.expr(
-            "cast(round(l_extendedprice * 100) as bigint) * cast(round(l_tax * 100) as bigint) div 100"
-        ).alias("freight_cents"),
+        F.expr(price).alias("price_cents"),
+        F.expr(f"{price} * {tax} div 100").alias("freight_cents"),
         F.expr("(l_partkey * 64 + cast(l_quantity as bigint)) * 8 + l_linenumber").alias("line_id"),
     )
 

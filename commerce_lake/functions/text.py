@@ -21,10 +21,12 @@ def stripped(col: Column | str) -> Column:
     """Text without white space at its ends: tabs and line breaks as well as spaces.
 
     Nearly every value starts and ends with a visible character of ASCII, which
-    two comparisons tell; only the others are searched for the whole set.
+    two comparisons tell; only the others are searched for the whole set. The last
+    byte is such a character or part of another one, and needs no count of characters.
     """
     text = F.col(col) if isinstance(col, str) else col
-    clean = _visible(text) & _visible(F.substring(text, -1, 1))
+    last = F.substring(text.cast("binary"), -1, 1)
+    clean = _visible(text) & (last >= F.lit(b"!")) & (last < F.lit(b"\x7f"))
     return F.when(clean, text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
 
 

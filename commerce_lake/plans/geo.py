@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commerce_lake.functions.dates import tolerant_timestamp
-from commerce_lake.functions.numbers import COORDINATE, MONEY, mean
+from commerce_lake.functions.numbers import COORDINATE, mean, to_money
 from commerce_lake.functions.text import or_unknown
 
 
@@ -40,7 +40,7 @@ def fact_sale_order_location(
     orders: DataFrame, customers: DataFrame, payments: DataFrame, geo: DataFrame
 ) -> DataFrame:
     paid = payments.groupBy("order_id").agg(
-        F.sum(F.col("payment_value").cast(MONEY)).alias("total_order_revenue")
+        F.sum(to_money("payment_value")).alias("total_order_revenue")
     )
     delivered = orders.where(F.col("order_status") == "delivered").select(
         "order_id", "customer_id", "order_purchase_timestamp"
@@ -62,7 +62,7 @@ def fact_revenue_by_product_seller_location(
     items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, geo: DataFrame
 ) -> DataFrame:
     sold = items.groupBy("order_id", "product_id", "seller_id").agg(
-        F.sum(F.col("price").cast(MONEY) + F.col("freight_value").cast(MONEY)).alias("revenue")
+        F.sum(to_money("price") + to_money("freight_value")).alias("revenue")
     )
     delivered = orders.where(F.col("order_status") == "delivered").select("order_id")
     named = products.select("product_id", "product_category_name_english")

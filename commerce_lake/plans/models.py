@@ -20,7 +20,8 @@ class Models:
     finished model from storage instead of recomputing it. Where order totals
     are stored, the models that need them join the table; otherwise they sum
     payments and lines straight onto their own orders, which spares a scan and
-    a shuffle of the orders behind the totals.
+    a shuffle of the orders behind the totals. Order totals sum the payments of
+    the stored fact, which holds every cleaned payment in the order of its key.
     """
 
     def __init__(
@@ -93,9 +94,8 @@ class Models:
 
     @cached_property
     def int_order_payment_totals(self) -> DataFrame:
-        return intermediate.int_order_payment_totals(
-            self.stg_orders, self.stg_order_payments, self.stg_order_items, self.params
-        )
+        payments = self.fct_payments if "fct_payments" in self.stored else self.stg_order_payments
+        return intermediate.int_order_payment_totals(self.stg_orders, payments, self.stg_order_items, self.params)
 
     @cached_property
     def int_customer_order_history(self) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from commerce_lake.operators.bitmaps import daily_bitmaps, distinct_ids
 from commerce_lake.operators.prefix import running_sums
-from commerce_lake.functions import dates, labels, text
+from commerce_lake import bindings
+from commerce_lake.functions import dates, labels, numbers, text
 from commerce_lake.operators.percentiles import exact_percentiles
 from commerce_lake.operators.ranking import first_per_group, ranked
 from commerce_lake.operators.shares import grand_total, in_one_row, running_share, share_of_groups
@@ -154,3 +155,35 @@ def test_sketch_bounds_hold_the_exact_quantiles(spark):
 def test_sketch_of_no_values(spark):
     df = spark.createDataFrame([("a", None)], "k string, v long")
     assert quantile_bounds(digit_counts(df, ["k"], F.col("v")), ["k"], [0.5]).count() == 0
+
+
+def test_money_is_what_a_cast_gives(spark):
+    rng = random.Random(5)
+    odd = [None, 0.0, -0.0, 0.005, 0.015, 1.005, 2.675, -1.005, 0.1 + 0.2, 9.995, 1e-300, 123456789012.34, 9999999999999.99, 1e13 + 0.01, 4e15, -9.99e15]
+    cents = [rng.randrange(-10**n, 10**n) / 100 for n in (3, 6, 9, 12, 15) for _ in range(60)]
+    values = odd + cents + [math.nextafter(c, math.inf) for c in cents] + [rng.uniform(-1e6, 1e6) for _ in range(100)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    made = df.select("v", numbers.to_money("v").alias("made"), F.col("v").cast(numbers.MONEY).alias("cast"))
+    assert made.schema["made"].dataType == numbers.MONEY
+    assert not made.where("NOT (made <=> cast)").collect()
+    texts = spark.createDataFrame([("12.345",), (" 7 ",), (None,)], "v string").select(numbers.money("v"))
+    assert [r.v for r in texts.collect()] == [Decimal("12.35"), Decimal("7.00"), None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.createDataFrame([("fifty",)], "v string").select(numbers.money("v")).collect()
+
+
+def test_cents_are_what_rounding_gives(spark):
+    rng = random.Random(6)
+    values = [None, 0.005, 0.015, -0.005, 1.125, -1.125, 0.125, 2.5, 90071992547409.92, 1e16] + [rng.uniform(-1e5, 1e5) for _ in range(500)]
+    values += [rng.randrange(-10**8, 10**8) / 8 for _ in range(200)]  # many halves of a cent
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cents = df.select("v", F.expr(bindings._cents("v")).alias("made"), F.expr("cast(round(v * 100) as bigint)").alias("plain"))
+    assert not cents.where("NOT (made <=> plain)").collect()
+
+
+def test_white_space_at_the_last_byte(spark):
+    space = text.WHITE_SPACE
+    values = ["a", "a ", "é", "aé", "a ", "a b", " a", "a\u0085", "日本", "a日", "a\x7f", "a\x1f", "", " ", None, "x\U0001f600"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    found = [r.s for r in df.select(text.stripped("v").alias("s")).collect()]
+    assert found == [v if v is None else v.strip(space) for v in values]

@@ -180,6 +180,22 @@ def test_single_rows_are_checked_in_the_pass_that_writes(raw, params, tmp_path,
     assert counted == {(r.check_name, r.model, r.column_name): r.failures for r in every}
 
 
+def test_order_totals_sum_the_written_payments(raw, params, models, tmp_path, monkeypatch):
+    begun, plain = [], build_module.write_model
+    monkeypatch.setattr(build_module, "write_model", lambda model, df, *rest: begun.append((model, df)) or plain(model, df, *rest))
+    report = build(raw, Lake(str(tmp_path)), params, only=["int_order_payment_totals", "fct_payments"])
+    assert {"int_order_payment_totals", "fct_payments"} <= set(report.built) and not report.failed
+    names, made = [model for model, _ in begun], dict(begun)["int_order_payment_totals"]
+    assert names.index("fct_payments") < names.index("int_order_payment_totals")
+    assert any("/fct_payments/" in file for file in made.inputFiles())
+    assert sorted(map(str, made.collect())) == sorted(map(str, models.int_order_payment_totals.collect()))
+    # Totals are made from their own parents where payments are not written.
+    begun.clear()
+    alone = build(raw, Lake(str(tmp_path / "alone")), params, only=["int_order_payment_totals"])
+    assert "fct_payments" not in alone.built and "int_order_payment_totals" in alone.built
+    assert not any("/fct_payments/" in file for file in dict(begun)["int_order_payment_totals"].inputFiles())
+
+
 def test_partial_build(raw, params, tmp_path):
     report = build(raw, Lake(str(tmp_path)), params, only=["dim_seller"])
     assert report.built == ["stg_sellers", "stg_geolocation", "int_geolocation_deduped", "dim_seller"]
